@@ -56,12 +56,12 @@ def distinct_sorted(df: DataFrame, cols: list[str]) -> DataFrame:
     option sets.
     """
     pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in cols)
-    long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (column, value)").where(F.col("value").isNotNull())
-    return long.distinct().orderBy("column", "value")
+    long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, value)").where(F.col("value").isNotNull())
+    return long.distinct().orderBy("column_name", "value")
 
 
 def options_map(df: DataFrame, cols: list[str]) -> DataFrame:
     """S12 payload: ``{column: [sorted values]}`` as one row (for bounded option sets)."""
     long = distinct_sorted(df, cols)
-    per_col = long.groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("values"))
-    return per_col.agg(F.map_from_entries(F.collect_list(F.struct("column", "values"))).alias("options"))
+    per_col = long.groupBy("column_name").agg(F.array_sort(F.collect_list("value")).alias("values"))
+    return per_col.agg(F.map_from_entries(F.collect_list(F.struct("column_name", "values"))).alias("options"))

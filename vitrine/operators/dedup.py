@@ -8,7 +8,7 @@ of landing whole in one window task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -49,10 +49,11 @@ def flag_duplicates(df: DataFrame, keys: list[str], name: str = "is_dup") -> Dat
     the join into a broadcast when the count table is small and splits a hot
     group's partition otherwise.
     """
-    counts = group_counts(df, keys, "_n").where(F.col("_n") > 1)
-    cond = [df[k].eqNullSafe(counts[k]) for k in keys]
+    counts = (group_counts(df, keys, "_n").where(F.col("_n") > 1)
+              .select(*[F.col(k).alias(f"_dk{i}") for i, k in enumerate(keys)], "_n"))
+    cond = [F.col(k).eqNullSafe(F.col(f"_dk{i}")) for i, k in enumerate(keys)]
     joined = df.join(counts, cond, "left")
-    return joined.select(*[df[c] for c in df.columns], F.coalesce(counts["_n"] > 1, F.lit(False)).alias(name))
+    return joined.select(*df.columns, F.col("_n").isNotNull().alias(name))
 
 
 def duplicate_summary(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -64,8 +65,3 @@ def duplicate_summary(df: DataFrame, keys: list[str] | None = None) -> DataFrame
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("rows_dropped"),
         F.count(F.lit(1)).cast("bigint").alias("rows_remaining"),
     )
-
-
-def text_fingerprint(c: Column) -> Column:
-    """Cheap 64-bit pre-key for very long texts (grouping still compares the text)."""
-    return F.xxhash64(c)

@@ -69,14 +69,12 @@ def read_bronze_csv(spark: SparkSession, path: str, columns: list[str] | None =
 def latest_snapshot(df: DataFrame, ts_col: str = "created_at", label: str = "") -> DataFrame:
     """Rows whose ``DATE(ts)`` equals the latest date in the table.
 
-    Written as a join to the one-row max aggregate (a scalar subquery), so the
-    max is computed once by a partial/final aggregate; Catalyst broadcasts
-    the single row.  On a ``created_date``-partitioned bronze the same
-    predicate becomes dynamic partition pruning.
+    The latest day is a scalar subquery (partial + final max aggregate, one
+    value).  On a ``created_date``-partitioned bronze the same predicate prunes
+    partitions.
     """
-    latest = df.agg(F.max(F.to_date(F.col(ts_col))).alias("_latest_day"))
-    return (df.join(latest, F.to_date(F.col(ts_col)) == F.col("_latest_day"), "inner")
-            .drop("_latest_day"))
+    latest = df.agg(F.max(F.to_date(F.col(ts_col)))).scalar()
+    return df.where(F.to_date(F.col(ts_col)) == latest)
 
 
 def warn_if_empty(*frames: DataFrame, label: str = "snapshot") -> bool:
