@@ -1 +1,247 @@
-"""(filled in below)."""
+"""Modelling queries: splits, folds, scaling, encoding, metrics, selection, KNN,
+voting, scoring (M1-M26, A18-A24, J5, J6, W4, W5, X1-X4, F8, F9)."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from vitrine.ml import models as M
+from vitrine.ml.evaluate import metrics_by_split
+from vitrine.ml.prepare import contiguous_folds, hash_split
+from vitrine.ml.score import newest_n, score_requests, validate_requests
+from vitrine.ml.select import benchmark, cv_r2, leaderboard, prepare_training, tune, winner
+from vitrine.plans import oracle as O
+from vitrine.plans.catalog import register, round_doubles, table
+
+SPLIT_SQL = ("CASE WHEN CAST(('0x' || substr(md5(concat_ws('|', '42', {k})), 1, 8)) AS BIGINT) % 100 < 80 "
+             "THEN 'train' ELSE 'test' END")
+
+
+def _split_sql(*keys: str) -> str:
+    return SPLIT_SQL.format(k=", ".join(f"CAST({c} AS VARCHAR)" for c in keys))
+
+
+@register("hash_split", "M2", sql=f"SELECT o_orderkey, {_split_sql('o_orderkey')} AS split FROM orders")
+def q_hash_split(spark, sf_dir):
+    return hash_split(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
+
+
+@register("ntile_folds", "W4 W6", sql="SELECT o_orderkey, ntile(5) OVER (ORDER BY o_orderkey) - 1 AS fold FROM orders")
+def q_folds(spark, sf_dir):
+    f = contiguous_folds(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 5)
+    return f.select("o_orderkey", F.col("fold").cast("long").alias("fold"))
+
+
+@register("standardize", "M4", sql=(
+    "WITH s AS (SELECT avg(p_size) AS ms, stddev_pop(p_size) AS ss, avg(p_retailprice) AS mp, "
+    "stddev_pop(p_retailprice) AS sp FROM part) SELECT p_partkey, "
+    "round(CASE WHEN ss = 0 THEN 0 ELSE (p_size - ms) / ss END, 4) AS z_size, "
+    "round(CASE WHEN sp = 0 THEN 0 ELSE (p_retailprice - mp) / sp END, 4) AS z_price FROM part, s"))
+def q_standardize(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
+    out = [F.col("p_partkey")]
+    for c, name in (("p_size", "z_size"), ("p_retailprice", "z_price")):
+        m = p.agg(F.avg(c)).scalar()
+        s = p.agg(F.stddev_pop(c)).scalar()
+        out.append(F.when(s == 0, F.lit(0.0)).otherwise((F.col(c) - m) / s).alias(name))
+    return round_doubles(p.select(*out))
+
+
+@register("onehot_counts", "M6 M8", sql=(
+    "SELECT CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS BIGINT) AS pos, p_type, CAST(n AS DOUBLE) AS n FROM "
+    "(SELECT p_type, count(*) AS n FROM part GROUP BY p_type)"))
+def q_onehot(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_type")
+    idx = StringIndexer(inputCol="p_type", outputCol="i", handleInvalid="keep", stringOrderType="alphabetAsc").fit(p)
+    enc = OneHotEncoder(inputCol="i", outputCol="v", dropLast=True, handleInvalid="keep").fit(idx.transform(p))
+    vec = enc.transform(idx.transform(p)).select(F.posexplode(vector_to_array("v")).alias("pos", "x"))
+    sums = vec.groupBy("pos").agg(F.sum("x").alias("n"))
+    labels = spark.createDataFrame(list(enumerate(idx.labels)), "pos INT, p_type STRING")  # one row per category
+    return sums.join(labels, "pos").select(F.col("pos").cast("long").alias("pos"), "p_type", "n")
+
+
+# ---------------------------------------------------------------- metrics on SQL baselines
+
+_LI_SPLIT = f"{_split_sql('l_orderkey', 'l_linenumber')}"
+_BASE_SQL = (
+    f"WITH li AS (SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity AS x, l_extendedprice AS y, "
+    f"{_LI_SPLIT} AS split FROM lineitem), "
+    "fit AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, avg(y) AS m FROM li WHERE split = 'train'), "
+    "grp AS (SELECT l_returnflag, avg(y) AS gm FROM li WHERE split = 'train' GROUP BY l_returnflag), "
+    "pred AS (SELECT li.*, a + b * x AS p_ols, m AS p_mean, coalesce(gm, m) AS p_group FROM li CROSS JOIN fit "
+    "LEFT JOIN grp USING (l_returnflag)) ")
+
+
+def _baselines(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag",
+                                                 F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"))
+    li = hash_split(li, ["l_orderkey", "l_linenumber"])
+    train = li.where("split = 'train'")
+    b = train.agg(F.regr_slope("y", "x")).scalar()
+    a = train.agg(F.regr_intercept("y", "x")).scalar()
+    m = train.agg(F.avg("y")).scalar()
+    grp = train.groupBy("l_returnflag").agg(F.avg("y").alias("gm"))  # one row per flag
+    return (li.join(grp, "l_returnflag", "left")
+            .withColumn("p_ols", a + b * F.col("x")).withColumn("p_mean", m)
+            .withColumn("p_group", F.coalesce("gm", m)).drop("gm"))
+
+
+def _metrics_sql(p: str) -> str:
+    return (f"SELECT split, CAST(count(*) AS BIGINT) AS n, round(sqrt(avg((y - {p}) * (y - {p}))), 4) AS rmse, "
+            f"round(avg(abs(y - {p})), 4) AS mae, round(1 - sum((y - {p}) * (y - {p})) / (var_pop(y) * count(*)), 4) AS r2 "
+            "FROM pred GROUP BY split")
+
+
+@register("regression_metrics", "A18 A19 A20 M11 M22", sql=_BASE_SQL + _metrics_sql("p_ols"))
+def q_reg_metrics(spark, sf_dir):
+    p = _baselines(spark, sf_dir).select("split", "y", F.col("p_ols").alias("pred"))
+    return round_doubles(metrics_by_split(p))
+
+
+@register("argmin_model", "A23 A21 O3 M25", sql=(
+    _BASE_SQL + ", runs AS (SELECT 'ols' AS model, 0 AS ord, sqrt(avg(CASE WHEN split = 'test' THEN (y - p_ols) * (y - p_ols) END)) AS test_rmse, "
+    "sqrt(avg(CASE WHEN split = 'train' THEN (y - p_ols) * (y - p_ols) END)) AS train_rmse FROM pred UNION ALL "
+    "SELECT 'mean', 1, sqrt(avg(CASE WHEN split = 'test' THEN (y - p_mean) * (y - p_mean) END)), "
+    "sqrt(avg(CASE WHEN split = 'train' THEN (y - p_mean) * (y - p_mean) END)) FROM pred UNION ALL "
+    "SELECT 'group_mean', 2, sqrt(avg(CASE WHEN split = 'test' THEN (y - p_group) * (y - p_group) END)), "
+    "sqrt(avg(CASE WHEN split = 'train' THEN (y - p_group) * (y - p_group) END)) FROM pred) "
+    "SELECT model, ord, round(test_rmse, 4) AS test_rmse, round(test_rmse - train_rmse, 4) AS overfit_gap, "
+    "CAST(rank() OVER (ORDER BY test_rmse, ord) AS INTEGER) AS rank, "
+    "model = (SELECT model FROM runs ORDER BY test_rmse, ord LIMIT 1) AS is_winner FROM runs"))
+def q_argmin(spark, sf_dir):
+    p = _baselines(spark, sf_dir)
+    runs = None
+    for i, (name, col) in enumerate((("ols", "p_ols"), ("mean", "p_mean"), ("group_mean", "p_group"))):
+        se = (F.col("y") - F.col(col)) ** 2
+        r = p.agg(F.sqrt(F.avg(F.when(F.col("split") == "test", se))).alias("test_rmse"),
+                  F.sqrt(F.avg(F.when(F.col("split") == "train", se))).alias("train_rmse")) \
+            .select(F.lit(name).alias("model"), F.lit(i).alias("ord"), "test_rmse",
+                    (F.col("test_rmse") - F.col("train_rmse")).alias("overfit_gap"))
+        runs = r if runs is None else runs.unionByName(r)
+    best = winner(runs).select("winner")
+    ranked = leaderboard(runs)
+    return round_doubles(ranked.withColumn("is_winner", F.col("model") == best.scalar())
+                         .select("model", "ord", "test_rmse", "overfit_gap", "rank", "is_winner"))
+
+
+@register("weighted_vote", "M19 J6", sql=_BASE_SQL + (
+    "SELECT l_orderkey, l_linenumber, round((5 * p_mean + p_group + p_ols) / 7, 4) AS pred FROM pred"))
+def q_vote(spark, sf_dir):
+    p = _baselines(spark, sf_dir)
+    return round_doubles(M.weighted_vote(p, {"p_mean": 5, "p_group": 1, "p_ols": 1}).select("l_orderkey", "l_linenumber", "pred"))
+
+
+# ---------------------------------------------------------------- KNN
+
+@register("knn_predict", "J5 M17", sql=(
+    f"WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label, {_split_sql('vec_id')} AS split FROM embeddings), "
+    "d AS (SELECT t.vec_id AS test_id, r.vec_id AS train_id, r.label, list_distance(t.v, r.v) AS dist "
+    "FROM e t JOIN e r ON t.split = 'test' AND r.split = 'train') "
+    "SELECT test_id AS vec_id, round(avg(label), 4) AS pred FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY test_id ORDER BY dist, train_id) AS rn FROM d) WHERE rn <= 3 GROUP BY test_id"))
+def q_knn(spark, sf_dir):
+    e = hash_split(table(spark, sf_dir, "embeddings"), ["vec_id"])
+    e = e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), F.col("label").cast("double"), "split")
+    out = M.knn_predict(e.where("split = 'train'"), e.where("split = 'test'"), k=3)
+    return round_doubles(out.withColumnRenamed("id", "vec_id"))
+
+
+# ---------------------------------------------------------------- requests, history
+
+def _requests(spark, sf_dir):
+    from vitrine.plans.queries_listing import silver_df
+
+    s = silver_df(spark, sf_dir)
+    return s.select(F.col("url").alias("request_id"), "ram_gb", "ssd_gb", "screen_size_inch", "resolution",
+                    "brand", "platform", "panel_type", "operating_system", "cpu_family", "ram_type", "gpu_model",
+                    "cpu_generation", "gpu_vram_gb", "refresh_rate_hz", "cpu_max_ghz")
+
+
+def _validate_sql() -> str:
+    checks = [f"CASE WHEN {c} IS NULL THEN '{c} missing' END" for c in
+              ["ram_gb", "ssd_gb", "screen_size_inch", "resolution"]]
+    checks += [f"CASE WHEN {c} IS NOT NULL AND {c} <> floor({c}) THEN '{c} not int' END" for c in
+               ["ram_gb", "ssd_gb", "cpu_generation", "gpu_vram_gb", "refresh_rate_hz"]]
+    reasons = f"concat_ws(',', {', '.join(checks)})"
+    return ("WITH " + O.silver_ctes() + f" SELECT url AS request_id, {reasons} = '' AS is_valid, {reasons} AS reasons, "
+            "CAST(ram_gb AS INTEGER) AS ram_gb, CAST(ssd_gb AS INTEGER) AS ssd_gb, "
+            "round(screen_size_inch, 4) AS screen_size_inch, resolution, brand FROM silver")
+
+
+@register("validate_requests", "F8 F9 P13", sql=_validate_sql())
+def q_validate(spark, sf_dir):
+    v = validate_requests(_requests(spark, sf_dir))
+    return round_doubles(v.select("request_id", "is_valid", "reasons", "ram_gb", "ssd_gb", "screen_size_inch",
+                                  "resolution", "brand"))
+
+
+@register("history_last_n", "W5 X4", sql=(
+    "SELECT event_id, user_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, "
+    "event_id DESC) AS rn FROM events) WHERE rn <= 50"))
+def q_history(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return newest_n(ev, "user_id", ["ts", "event_id"], 50)
+
+
+# ---------------------------------------------------------------- MLlib jobs (rows-only checks)
+
+def _prepared(spark, sf_dir):
+    """Gold (finalised: internal columns dropped) -> prepared features, lineage cut by a checkpoint.
+
+    Model fitting runs many jobs over the same rows; the reliable checkpoint
+    (written under ``spark.checkpoint.dir``) keeps each job from re-planning
+    and re-running the whole listing ETL, and survives executor loss.
+    """
+    from vitrine.plans import etl
+    from vitrine.plans.queries_listing import gold_df
+
+    gold = etl.finalize(gold_df(spark, sf_dir), stamp=False).drop("created_at")
+    prepared, pre, cat, num = prepare_training(gold, ["url"])
+    return prepared.checkpoint(eager=True), pre, cat, num
+
+
+@register("mllib_benchmark", "M1-M3 M5 M6 M8 M10 M11 M15 M16 M21 M22 A23")
+def q_mllib_benchmark(spark, sf_dir):
+    prepared, *_ = _prepared(spark, sf_dir)
+    runs = benchmark(prepared)
+    return leaderboard(runs)
+
+
+@register("mllib_models", "M12 M13 M14 M16")
+def q_mllib_models(spark, sf_dir):
+    prepared, *_ = _prepared(spark, sf_dir)
+    return leaderboard(benchmark(prepared, ["Ridge", "Lasso", "DecisionTree", "GradientBoosting"]))
+
+
+@register("mllib_tuning", "M23 A22")
+def q_mllib_tuning(spark, sf_dir):
+    prepared, *_ = _prepared(spark, sf_dir)
+    return tune(prepared, "Ridge", order_cols=["url"])
+
+
+@register("mllib_cv_r2", "M26 W4")
+def q_mllib_cv(spark, sf_dir):
+    prepared, *_ = _prepared(spark, sf_dir)
+    return cv_r2(prepared, "LinearRegression", folds=5, order_cols=["url"])
+
+
+@register("mllib_stacking", "M20 J6")
+def q_mllib_stacking(spark, sf_dir):
+    from vitrine.ml.evaluate import run_record
+    from vitrine.ml.prepare import hash_folds
+
+    prepared, *_ = _prepared(spark, sf_dir)
+    prepared = hash_folds(prepared, ["url"], 5, name="_fold")
+    base = [("LinearRegression", {}), ("DecisionTree", {"max_depth": 8})]
+    pred = M.stacked_predictions(prepared.where("split = 'train'"), prepared, base, folds=5, meta_alpha=100.0)
+    return run_record(pred.select("split", F.col("price_try").alias("y"), "pred"))
+
+
+@register("score_requests", "X1 X2 X3 T20 T25 T27 S14")
+def q_score(spark, sf_dir):
+    prepared, pre, _, _ = _prepared(spark, sf_dir)
+    model = M.fit("LinearRegression", prepared.where("split = 'train'"))
+    valid = validate_requests(_requests(spark, sf_dir)).where("is_valid")
+    return score_requests(valid, pre, model, "LinearRegression (v1)")
