@@ -69,19 +69,14 @@ def hash_folds(df: DataFrame, key_cols: list[str], k: int, seed: str = "7", name
     return df.withColumn(name, F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long"), F.lit(k)).cast("int"))
 
 
-def standardize_expr(col: str, mean: float, std: float) -> str:
-    """M4: population-std scaling; zero variance maps to 0 (like a scale of 1 on a constant)."""
-    if std is None or std == 0:
-        return "0.0D"
-    return f"((`{col}` - {mean!r}D) / {std!r}D)"
-
-
 def fit_preprocessor(train: DataFrame, categorical: list[str], numeric: list[str], drop_first: bool = False,
                      scale: bool = True, impute: bool = True, features: str = "features") -> PipelineModel:
     """M3-M8: median impute + standard scale numerics; 'missing' + one-hot categoricals; assemble.
 
     ``drop_first=True`` is the notebook encoder (first category dropped,
-    numerics passed through).  Unknown categories encode as all zeros.
+    numerics passed through).  Unknown categories encode as all zeros: the
+    indexer keeps them as index ``numLabels`` and the encoder (default
+    ``handleInvalid``) drops exactly that last slot.
     """
     meds: dict[str, float] = {}
     stats: dict[str, tuple[float, float]] = {}
@@ -111,7 +106,7 @@ def fit_preprocessor(train: DataFrame, categorical: list[str], numeric: list[str
         idx = StringIndexer(inputCols=[f"{c}__cat" for c in categorical], outputCols=[f"{c}__idx" for c in categorical],
                             handleInvalid="keep", stringOrderType="alphabetAsc").fit(prepared)
         ohe = OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical], outputCols=[f"{c}__ohe" for c in categorical],
-                            dropLast=True, handleInvalid="keep").fit(idx.transform(prepared))
+                            dropLast=True).fit(idx.transform(prepared))
         stages += [idx, ohe]
         if drop_first:
             for c, labels in zip(categorical, idx.labelsArray):

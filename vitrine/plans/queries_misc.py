@@ -1 +1,40 @@
-"""(filled in below)."""
+"""Streaming and sink round-trip queries (R1, S6, S9, C4) — rows-only checks."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from vitrine.plans.catalog import register
+
+
+@register("incremental_ingest", "R1 S6 C1 C2")
+def q_incremental(spark, sf_dir):
+    """Land the listing bronze as appended files, stream it into silver, read the silver table back."""
+    from vitrine.plans.queries_listing import bronze
+    from vitrine.streaming.ingest import incremental_silver, land_bronze, scratch_root
+
+    root = scratch_root(spark, "incremental")
+    hb, ty = bronze(spark, sf_dir)
+    land_bronze(hb, os.path.join(root, "bronze_hb"))
+    land_bronze(ty, os.path.join(root, "bronze_ty"))
+    hb_schema = spark.read.parquet(os.path.join(root, "bronze_hb")).schema
+    ty_schema = spark.read.parquet(os.path.join(root, "bronze_ty")).schema
+    silver_path = os.path.join(root, "silver")
+    incremental_silver(spark, os.path.join(root, "bronze_hb"), os.path.join(root, "bronze_ty"), silver_path,
+                       os.path.join(root, "_checkpoint"), hb_schema, ty_schema)
+    return spark.read.parquet(silver_path).drop("processed_at", "created_at", "created_date", "batch_id")
+
+
+@register("etl_run_tables", "C4 C5 S9 S10 S11 S2")
+def q_etl_run(spark, sf_dir):
+    """C4: snapshot -> merge -> silver (written) -> gold (read back from silver, written)."""
+    from vitrine.plans import etl
+    from vitrine.plans.queries_listing import bronze
+    from vitrine.streaming.ingest import scratch_root
+
+    root = scratch_root(spark, "etl")
+    hb, ty = bronze(spark, sf_dir)
+    _, gold = etl.run(spark, hb, ty, os.path.join(root, "silver"), os.path.join(root, "gold"))
+    return gold.drop("processed_at", "created_at").withColumn("ppi", F.round("ppi", 4))

@@ -55,7 +55,7 @@ def q_standardize(spark, sf_dir):
 def q_onehot(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_type")
     idx = StringIndexer(inputCol="p_type", outputCol="i", handleInvalid="keep", stringOrderType="alphabetAsc").fit(p)
-    enc = OneHotEncoder(inputCol="i", outputCol="v", dropLast=True, handleInvalid="keep").fit(idx.transform(p))
+    enc = OneHotEncoder(inputCol="i", outputCol="v", dropLast=True).fit(idx.transform(p))
     vec = enc.transform(idx.transform(p)).select(F.posexplode(vector_to_array("v")).alias("pos", "x"))
     sums = vec.groupBy("pos").agg(F.sum("x").alias("n"))
     labels = spark.createDataFrame(list(enumerate(idx.labels)), "pos INT, p_type STRING")  # one row per category
