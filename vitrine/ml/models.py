@@ -48,8 +48,13 @@ def make_estimator(name: str, params: dict | None = None, y_stats: tuple[int, fl
             numTrees=int(p.get("n_estimators", 100)), maxDepth=int(min(depth, MAX_TREE_DEPTH)) if depth else MAX_TREE_DEPTH,
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             subsamplingRate=float(p.get("max_samples", 1.0)),
-            featureSubsetStrategy=str(p.get("max_features", "all")),
-            bootstrap=name == "RandomForest" or bool(p.get("bootstrap", False)), seed=seed, **common)
+            # ExtraTrees has no MLlib learner: un-bootstrapped trees draw a random
+            # feature subset per node instead of random thresholds (identical
+            # trees otherwise).
+            featureSubsetStrategy=str(p.get("max_features", "all" if name == "RandomForest" else "onethird")),
+            bootstrap=name == "RandomForest" or bool(p.get("bootstrap", False)),
+            # deep trees: cache node ids between levels, split more nodes per pass
+            cacheNodeIds=True, maxMemoryInMB=1024, checkpointInterval=10, seed=seed, **common)
     if name in ("GradientBoosting", "XGBoost", "LightGBM"):
         defaults = {"GradientBoosting": (100, 0.1, 3, 1.0), "XGBoost": (100, 0.3, 6, 1.0), "LightGBM": (100, 0.1, 5, 1.0)}[name]
         n_est, lr, depth, sub = defaults

@@ -51,7 +51,13 @@ def silver_df(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return etl.gold(silver_df(spark, sf_dir))
+    """Gold reads a materialised silver, as the written-table ETL run does.
+
+    Gold uses silver three times (rows, brand counts, OS counts); pruning makes
+    those subtrees differ so Spark cannot reuse the exchange.  A reliable
+    checkpoint (under ``spark.checkpoint.dir``) computes silver once.
+    """
+    return etl.gold(silver_df(spark, sf_dir).checkpoint(eager=True))
 
 
 M = O.merged_cte()
