@@ -128,15 +128,20 @@ _PROFILE_COLS = O.BRONZE_STRING_COLS
         f"FROM merged m JOIN cleaned cl USING (_src_rank, _seq)"
         for c in _PROFILE_COLS)))
 def q_clean_profile(spark, sf_dir):
+    """Nulls before/after T1 and distinct cleaned values per column: one stacked pass.
+
+    Counts per (column, cleaned value) are a partial aggregate (hot values
+    collapse map-side); the per-column report folds that small table.
+    """
     raw = merged_en(spark, sf_dir)
-    aggs = []
-    for c in _PROFILE_COLS:
-        cl = clean_text(F.col(c))
-        aggs += [F.count(F.lit(1)) - F.count(F.col(c)), F.count(F.lit(1)) - F.count(cl), F.count_distinct(cl)]
-    row = raw.agg(*[a.alias(f"_{i}") for i, a in enumerate(aggs)])
-    stack = ", ".join(f"'{c}', _{3*i}, _{3*i+1}, _{3*i+2}" for i, c in enumerate(_PROFILE_COLS))
-    out = row.selectExpr(f"stack({len(_PROFILE_COLS)}, {stack}) AS (column_name, nulls_before, nulls_after, distinct_after)")
-    return out.select("column_name", *[F.col(c).cast("bigint").alias(c) for c in ("nulls_before", "nulls_after", "distinct_after")])
+    cols = [x for c in _PROFILE_COLS for x in (F.lit(c), F.col(c), clean_text(F.col(c)))]
+    long = raw.select(F.stack(F.lit(len(_PROFILE_COLS)), *cols).alias("column_name", "raw", "cleaned"))
+    per_value = long.groupBy("column_name", "cleaned").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("raw").isNull().cast("long")).alias("raw_nulls"))
+    return per_value.groupBy("column_name").agg(
+        F.sum("raw_nulls").cast("bigint").alias("nulls_before"),
+        F.coalesce(F.sum(F.when(F.col("cleaned").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nulls_after"),
+        F.count("cleaned").cast("bigint").alias("distinct_after"))
 
 
 # ------------------------------------------------------------- standardisers

@@ -245,3 +245,42 @@ def q_score(spark, sf_dir):
     model = M.fit("LinearRegression", prepared.where("split = 'train'"))
     valid = validate_requests(_requests(spark, sf_dir)).where("is_valid")
     return score_requests(valid, pre, model, "LinearRegression (v1)")
+
+
+@register("log_target_check", "A24", sql=(
+    "SELECT quantile_cont(o_totalprice, 0.5) < 50 AS target_is_log FROM orders"))
+def q_log_target(spark, sf_dir):
+    from vitrine.ml.evaluate import log_target_is_used
+
+    return log_target_is_used(table(spark, sf_dir, "orders"), "o_totalprice")
+
+
+@register("onehot_drop_first", "M7", sql=(
+    "SELECT CAST(dense_rank() OVER (ORDER BY p_type) - 2 AS BIGINT) AS pos, p_type, CAST(n AS DOUBLE) AS n FROM "
+    "(SELECT p_type, count(*) AS n FROM part GROUP BY p_type) QUALIFY dense_rank() OVER (ORDER BY p_type) > 1"))
+def q_onehot_drop_first(spark, sf_dir):
+    from vitrine.ml.prepare import fit_preprocessor
+
+    p = table(spark, sf_dir, "part").select("p_type")
+    model = fit_preprocessor(p, ["p_type"], [], drop_first=True)
+    labels = [lbl for lbl in model.stages[1].labelsArray[0]]
+    vec = model.transform(p).select(F.posexplode(vector_to_array("features")).alias("pos", "x"))
+    sums = vec.groupBy("pos").agg(F.sum("x").alias("n"))
+    names = spark.createDataFrame(list(enumerate(labels[1:])), "pos INT, p_type STRING")  # one row per category
+    return sums.join(names, "pos").select(F.col("pos").cast("long").alias("pos"), "p_type", "n")
+
+
+@register("display_fields", "T24 T25 T26 T27 H10", sql=(
+    "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS stamp, round(value, 2) AS value_2dp, "
+    "format('{:,.2f}', value * 1000) AS value_label, coalesce(CAST(NULLIF(event_type, 'error') AS VARCHAR), '-') AS shown, "
+    "concat_ws(' ', event_type, CAST(user_id AS VARCHAR)) AS label FROM events"))
+def q_display(spark, sf_dir):
+    from vitrine.functions.text import display_or_dash
+    from vitrine.ml.score import price_label
+    from vitrine.operators.html import scrape_stamp
+
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", scrape_stamp(F.col("ts")).alias("stamp"), F.round("value", 2).alias("value_2dp"),
+                     price_label(F.col("value") * 1000).alias("value_label"),
+                     display_or_dash(F.nullif("event_type", F.lit("error"))).alias("shown"),
+                     F.concat_ws(" ", "event_type", F.col("user_id").cast("string")).alias("label"))
