@@ -89,3 +89,24 @@ def test_knn_matches_brute_force(spark):
         d = np.sqrt(((tr - te[i]) ** 2).sum(1))
         idx = np.lexsort((np.arange(300), d))[:3]
         assert abs(got[1000 + i] - lab[idx].mean()) < 1e-9
+
+
+def test_adaboost_weighted_median(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    from vitrine.ml.models import adaboost_predict, adaboost_r2
+
+    rng = np.random.default_rng(2)
+    x = rng.uniform(0, 10, 300)
+    y = np.sin(x) + 0.1 * rng.normal(size=300)
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x DOUBLE, _y_log DOUBLE"))
+    trees, alphas = adaboost_r2(df, n_estimators=5)
+    assert 1 <= len(trees) <= 5 and all(a > 0 for a in alphas)
+    out = adaboost_predict(trees, alphas, df).select("x", "_pred_log").collect()
+    # the weighted median is one of the trees' predictions
+    singles = [{r["x"]: r["_p"] for r in t.setPredictionCol("_p").transform(df).collect()} for t in trees]
+    for r in out[:20]:
+        assert any(abs(s[r["x"]] - r["_pred_log"]) < 1e-12 for s in singles)
+    mse = np.mean([(r["_pred_log"] - np.sin(r["x"])) ** 2 for r in out])
+    assert mse < 0.3

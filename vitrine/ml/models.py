@@ -180,3 +180,58 @@ def knn_predict(train: DataFrame, test: DataFrame, k: int = 3, id_col: str = "id
     w = Window.partitionBy("test_id").orderBy("dist", "train_id")
     top = cand.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k)
     return top.groupBy(F.col("test_id").alias(id_col)).agg(F.avg("label").alias("pred"))
+
+
+# ----------------------------------------------------------------- AdaBoost.R2
+
+def adaboost_r2(train: DataFrame, n_estimators: int = 15, learning_rate: float = 1.0, max_depth: int = 3,
+                features: str = "features", label: str = LABEL, seed: int = 42) -> tuple[list, list[float]]:
+    """AdaBoost.R2 with linear loss; returns (trees, estimator weights).
+
+    Each round fits a weighted tree (``weightCol``; the original draws a
+    weighted bootstrap instead), takes the normalised absolute error, stops when
+    the weighted mean loss reaches 0.5, and re-weights rows by
+    beta ** ((1 - loss) * learning_rate).  The per-round statistics are two
+    scalars; the weighted rows are checkpointed each round so the lineage does
+    not grow with the rounds.
+    """
+    n = train.count()
+    df = train.select(features, label).withColumn("_w", F.lit(1.0 / n)).checkpoint(eager=True)
+    trees, alphas = [], []
+    for m in range(n_estimators):
+        tree = DecisionTreeRegressor(maxDepth=max_depth, weightCol="_w", featuresCol=features, labelCol=label,
+                                     predictionCol="_p", seed=seed + m).fit(df)
+        scored = tree.transform(df).withColumn("_e", F.abs(F.col(label) - F.col("_p")))
+        e_max = scored.agg(F.max("_e")).first()[0]
+        if not e_max:
+            trees.append(tree)
+            alphas.append(1.0)
+            break
+        loss = F.col("_e") / F.lit(e_max)
+        avg_loss = scored.agg(F.sum(F.col("_w") * loss) / F.sum("_w")).first()[0]
+        if avg_loss >= 0.5:
+            if not trees:
+                trees.append(tree)
+                alphas.append(1.0)
+            break
+        beta = avg_loss / (1.0 - avg_loss)
+        trees.append(tree)
+        alphas.append(learning_rate * float(np.log(1.0 / beta)))
+        new_w = F.col("_w") * F.pow(F.lit(beta), (1.0 - loss) * learning_rate)
+        reweighted = scored.select(features, label, new_w.alias("_w"))
+        total = reweighted.agg(F.sum("_w")).first()[0]
+        df = reweighted.withColumn("_w", F.col("_w") / F.lit(total)).checkpoint(eager=True)
+    return trees, alphas
+
+
+def adaboost_predict(trees: list, alphas: list[float], df: DataFrame, name: str = "_pred_log") -> DataFrame:
+    """M18 prediction: weighted median of the trees' predictions (first prediction whose weight CDF >= half)."""
+    out = df
+    for i, t in enumerate(trees):
+        out = t.setPredictionCol(f"_ab{i}").transform(out)
+    pairs = F.array(*[F.struct(F.col(f"_ab{i}").alias("p"), F.lit(a).alias("a")) for i, a in enumerate(alphas)])
+    srt = F.array_sort(pairs)
+    half = 0.5 * float(sum(alphas))
+    cdf = F.transform(srt, lambda x, i: F.aggregate(F.slice(srt, 1, i + 1), F.lit(0.0), lambda acc, y: acc + y["a"]))
+    idx = F.array_position(F.transform(cdf, lambda c: c >= half), True)
+    return out.withColumn(name, F.element_at(srt, idx.cast("int"))["p"]).drop(*[f"_ab{i}" for i in range(len(trees))])

@@ -284,3 +284,13 @@ def q_display(spark, sf_dir):
                      price_label(F.col("value") * 1000).alias("value_label"),
                      display_or_dash(F.nullif("event_type", F.lit("error"))).alias("shown"),
                      F.concat_ws(" ", "event_type", F.col("user_id").cast("string")).alias("label"))
+
+
+@register("mllib_adaboost", "M18")
+def q_mllib_adaboost(spark, sf_dir):
+    from vitrine.ml.evaluate import run_record
+
+    prepared, *_ = _prepared(spark, sf_dir)
+    trees, alphas = M.adaboost_r2(prepared.where("split = 'train'"), n_estimators=15, learning_rate=1.0)
+    pred = M.adaboost_predict(trees, alphas, prepared).withColumn("pred", F.expm1("_pred_log"))
+    return run_record(pred.select("split", F.col("price_try").alias("y"), "pred"))
