@@ -77,3 +77,21 @@ def test_profile_and_cleanup(spark):
     assert {"missing", "summary", "box", "corr"} <= set(rep)
     clean = modelling_cleanup(df, "price_try").orderBy("price_try").collect()
     assert [(r["a"], r["b"]) for r in clean] == [(1.0, "x"), (1.0, "x")]
+
+
+def test_latest_snapshot_prunes_partitions(spark, tmp_path):
+    import io, contextlib
+
+    from vitrine.sources.tables import latest_snapshot
+
+    df = spark.createDataFrame([("a", "2025-12-16 10:00:00"), ("b", "2025-12-17 09:00:00"), ("c", "2025-12-17 23:00:00")],
+                               "k STRING, t STRING").withColumn("created_at", F.to_timestamp("t")).drop("t")
+    path = str(tmp_path / "bronze")
+    append_with_stamp(df, path)
+    landed = spark.read.parquet(path)
+    snap = latest_snapshot(landed)
+    assert sorted(r["k"] for r in snap.collect()) == ["b", "c"]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        snap.explain()
+    assert "PartitionFilters: [isnotnull(created_date" in buf.getvalue()

@@ -37,10 +37,20 @@ def element_text(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(unescape(no_tags), r"(?U)\s+", " "))
 
 
-def page_urls(df: DataFrame, base: str, n: str, style: str = "suffix") -> DataFrame:
-    """H1: listing-page URLs 1..n per base: ``base + p`` ('suffix') or ``base&pi=p`` ('param')."""
-    p = F.explode(F.sequence(F.lit(1), F.col(n).cast("int"))).alias("page")
-    rows = df.select("*", p)
+def page_urls(df: DataFrame, base: str, n: str, style: str = "suffix", chunk: int = 10_000) -> DataFrame:
+    """H1: listing-page URLs 1..n per base: ``base + p`` ('suffix') or ``base&pi=p`` ('param').
+
+    Two-level generation: a base first expands into ranges of at most ``chunk``
+    pages, the ranges are spread over partitions, then each range expands, so
+    a base with a huge page count is not generated by a single task.
+    """
+    nn = F.col(n).cast("long")
+    ranges = df.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((nn - 1) / chunk).cast("long")))
+                       .alias("_chunk")).where(nn > 0)
+    ranges = ranges.repartition(base, "_chunk")
+    lo = F.col("_chunk") * chunk + 1
+    hi = F.least((F.col("_chunk") + 1) * chunk, nn)
+    rows = ranges.select("*", F.explode(F.sequence(lo, hi)).alias("page")).drop("_chunk")
     url = (F.concat(F.col(base), F.col("page").cast("string")) if style == "suffix"
            else F.concat(F.col(base), F.lit("&pi="), F.col("page").cast("string")))
     return rows.withColumn("url", url)

@@ -73,6 +73,11 @@ def latest_snapshot(df: DataFrame, ts_col: str = "created_at", label: str = "")
     value).  On a ``created_date``-partitioned bronze the same predicate prunes
     partitions.
     """
+    if ts_col == "created_at" and "created_date" in df.columns:
+        # landed bronze (S6) is partitioned by created_date: filtering the
+        # partition column lets the scan prune whole partitions at runtime
+        latest = df.agg(F.max("created_date")).scalar()
+        return df.where(F.col("created_date") == latest)
     latest = df.agg(F.max(F.to_date(F.col(ts_col)))).scalar()
     return df.where(F.to_date(F.col(ts_col)) == latest)
 
