@@ -243,3 +243,19 @@ def q_sample(spark, sf_dir):
 @register("head_rows", "O4", sql="SELECT p_partkey, p_name, p_brand FROM part ORDER BY p_partkey LIMIT 10")
 def q_head(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand").orderBy("p_partkey").limit(10)
+
+
+_SHAPE_TABLES = ["part", "orders", "lineitem", "events", "documents", "pages"]
+
+
+@register("table_shapes", "A2", sql=" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, "
+    f"CAST((SELECT count(*) FROM (DESCRIBE {t})) AS BIGINT) AS n_cols FROM {t}" for t in _SHAPE_TABLES))
+def q_table_shapes(spark, sf_dir):
+    out = None
+    for t in _SHAPE_TABLES:
+        df = table(spark, sf_dir, t)
+        row = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(t).alias("table_name"), "n_rows", F.lit(len(df.columns)).cast("long").alias("n_cols"))
+        out = row if out is None else out.unionByName(row)
+    return out
