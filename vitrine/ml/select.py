@@ -24,7 +24,7 @@ from vitrine.ml.prepare import contiguous_folds, fit_preprocessor, hash_split, p
 # Independent fits (models, trials, folds) are submitted as concurrent Spark
 # jobs, like CrossValidator(parallelism=...): small fits are bound by job
 # overhead, and the scheduler interleaves their tasks.
-PARALLELISM = 4
+PARALLELISM = 8
 
 
 def _parallel(fn, items, parallelism: int = PARALLELISM) -> list:
