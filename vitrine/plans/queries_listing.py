@@ -80,7 +80,7 @@ def q_gold_by_brand(spark, sf_dir):
         F.count(F.lit(1)).alias("n_listings"), F.avg("price_try").alias("avg_price_try"), F.avg("ppi").alias("avg_ppi")))
 
 
-@register("silver_table", "C2 S1 C1 T1-T17 F1 W1 F2", sql=(
+@register("silver_table", "C2 S1 C1 T1-T17 F1 W1 F2 P4 P9", sql=(
     "WITH " + O.silver_ctes() + " SELECT " + O.select_rounded(O.SILVER_COLS, O.SILVER_DOUBLES) + " FROM silver"))
 def q_silver(spark, sf_dir):
     return round_doubles(silver_df(spark, sf_dir).select(*O.SILVER_COLS))
