@@ -1,7 +1,7 @@
 """Regressors on MLlib.
 
 Targets are fitted on ``log1p(y)`` and predictions mapped back with
-``expm1`` (M10).  Model names follow the reference's benchmark list; the
+``expm1`` (M10).  Model names follow the original benchmark list; the
 native boosters (XGBoost, LightGBM) and ExtraTrees have no MLlib learner and
 map to the distributed tree learners with the same headline settings.
 """

@@ -97,7 +97,7 @@ def tune(prepared: DataFrame, model_name: str, trials: int = TUNING_TRIALS, fold
          order_cols: list[str] | None = None, target: str = TARGET_COL, seed: int = 42) -> DataFrame:
     """Each trial is scored by sqrt(mean fold MSE) in currency units over unshuffled K folds.
 
-    Like the reference, folds cover all prepared rows (quirk 11).  Returns
+    Like the original, folds cover all prepared rows (quirk 11).  Returns
     one row per trial: trial, params (JSON), score; the smallest score wins.
     """
     spark = prepared.sparkSession

@@ -98,7 +98,7 @@ _PRE_SHUFFLE = ["Başlık", "Fiyat (TRY)", "Marka"]
 def silver(merged: DataFrame) -> DataFrame:
     """Clean -> title fills -> English names -> Apple filter -> keep-last -> parse -> price present.
 
-    Results equal the reference order.  Physically, only the deduplication keys
+    Results equal the original order.  Physically, only the deduplication keys
     (title, price text) and the filter inputs are cleaned before the single
     shuffle; cleaning of the other columns, the title fills and the parsers are
     row-local, so they run after keep-last on the surviving rows only.  Rows
