@@ -1,14 +1,14 @@
 """Spark session defaults shared by jobs, tests and the bench.
 
 On a cluster the session already exists (spark-submit / notebook); ``configure``
-only sets what is unset, so cluster-level choices (shuffle partitions, checkpoint
-dir on shared storage) always win over these local defaults.
+always sets what results rely on (time zone, ANSI) and leaves the cluster's tuning
+(shuffle partitions, checkpoint folder, AQE) as it is.  The adaptive settings below
+apply only to a session that ``get_session`` builds.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -31,7 +31,8 @@ SCALE_CONF = {
 }
 
 
-def get_session(master: str | None = None, app: str = "vitrine", shuffle_partitions: int | None = None) -> SparkSession:
+def get_session(master: str | None = None, app: str = "vitrine", shuffle_partitions: int | None = None,
+                checkpoint: str | None = None) -> SparkSession:
     """Return the active session, or build a local one for tests / bench."""
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -46,30 +47,41 @@ def get_session(master: str | None = None, app: str = "vitrine", shuffle_partiti
     )
     for k, v in {**REQUIRED_CONF, **SCALE_CONF}.items():
         builder = builder.config(k, v)
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
 
 
+#: Bounds on one Arrow batch to a Python worker, set only where the session has Spark's own defaults.
+BATCH_CONF = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "16777216b"),
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
+    """Set what results rely on (always) and what is still at Spark's default among the batch bounds."""
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
-    checkpoint_dir(spark)
+    for k, (default, own) in BATCH_CONF.items():
+        if spark.conf.get(k, default) == default:
+            spark.conf.set(k, own)
+    if spark.conf.get("spark.checkpoint.dir", None):
+        checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+    """The shared folder named in ``spark.checkpoint.dir``; also makes it the context's checkpoint folder.
 
-    Only when the session has none (local tests) is a scratch folder created.
+    The library never invents a folder: on a cluster a machine-local one would lose data with its machine.  Tests
+    and the bench name their own.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="vitrine-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    sc.setCheckpointDir(conf_dir)
-    return conf_dir
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
