@@ -49,5 +49,5 @@ def test_table(frame):
     for r in got.collect():
         assert r.n_tokens == COUNT(r.text or "") == sum(r.leaf_tokens)
     by = {r.doc_id: r for r in got.collect()}
-    assert by[2].text == " new" and by[3].text == "" and by[1].text.startswith("hell newrld")
+    assert by[2].text == " new" and by[3].text == "" and by[1].text.startswith("hell neworld")
     assert T.with_trees(frame([], "doc_id long, text string"), PATH).count() == 0
