@@ -214,7 +214,7 @@ def jaccard_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
     # classes of equal sets, each represented by its smallest id
     classes = live.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
     shared = classes.where("rep < last").select("cls", "rep")
-    copies = scratch.write(live.select("cls", "doc_id").join(shared, "cls").where("doc_id != rep").select("cls", "doc_id"), "copies")
+    copies = scratch.sent(live.select("cls", "doc_id").join(shared, "cls").where("doc_id != rep").select("cls", "doc_id"), "copies")
     reps = live.join(copies, ["cls", "doc_id"], "left_anti")
     # cells with several members
     signs = reps.select("cls", F.explode("cells").alias("cell"))
@@ -222,7 +222,8 @@ def jaccard_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
     members = scratch.write(signs.join(cells.select("cell"), "cell"), "members")
     involved = members.select("cls").distinct()
     small = scratch.write(reps.select("cls", "doc_id", "n", "bitmap").join(involved, "cls", "left_semi").distinct(), "small")
-    texts = scratch.write(rows.join(small.select("cls", "doc_id"), "doc_id").select("cls", "text"), "texts")
+    asked = scratch.sent(small.select("cls", "doc_id"), "asked")
+    texts = scratch.write(rows.join(asked, "doc_id").select("cls", "text"), "texts")
 
     def verify(pairs: DataFrame, name: str) -> DataFrame:
         left, right = (small.select(F.col("cls").alias(x), F.col("n").alias(f"{x}_n"), F.col("bitmap").alias(f"{x}_map")) for x in "ab")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vitrine.session import checkpoint_dir
 
@@ -18,6 +19,17 @@ class Scratch:
         self.spark = spark
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
+    #: Rows of numbers (ids) that may be sent to every executor: 16 MB for one long each.
+    SENT_ROWS = 1 << 21
+
+    def sent(self, ids: DataFrame, name: str) -> DataFrame:
+        """Write a table of ids; it is marked for broadcast only if its counted rows stay within ``SENT_ROWS``.
+
+        Beyond that the planner is free, which means a shuffled join.
+        """
+        written = self.write(ids, name)
+        return F.broadcast(written) if written.count() <= self.SENT_ROWS else written
+
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
