@@ -84,8 +84,8 @@ def cell_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """Hashed bitmap with about one bit per shingle (a power of two between 64 and 16,384 bits)."""
-    bits = min(16_384, max(64, 1 << int(len(shingles)).bit_length()))
+    """Hashed bitmap with 8 to 16 bits per shingle (a power of two between 64 and 65,536 bits)."""
+    bits = min(65_536, max(64, 8 << int(len(shingles)).bit_length()))
     out = np.zeros(bits, dtype=np.uint8)
     out[(words.mix(shingles) & U64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
@@ -104,6 +104,7 @@ def may_link(a: bytes, b: bytes, n_a: int, n_b: int, bands: Bands) -> bool:
     least = int(bands.least_overlap(np.int64(n_a), np.int64(n_b)))
     size = min(len(a), len(b))
     x, y = _folded(a, size), _folded(b, size)
+    x, y = x.view(U64), y.view(U64)
     only_a, only_b = int(np.bitwise_count(x & ~y).sum()), int(np.bitwise_count(y & ~x).sum())
     return min(n_a - only_a, n_b - only_b) >= least
 
@@ -177,7 +178,7 @@ def _tile_pairs(bands: Bands):
         rep, comp, n, block = (np.array(rows[c]) for c in ("cls", "component", "n", "block"))
         a_out, b_out = [], []
         size = min(len(m) for m in rows["bitmap"])
-        maps = np.stack([_folded(m, size) for m in rows["bitmap"]])
+        maps = np.stack([_folded(m, size) for m in rows["bitmap"]]).view(U64)
         for k in range(len(rep) - 1):
             rest = slice(k + 1, int(np.searchsorted(n, n[k] * bands.den // bands.num, side="right")))
             other = np.arange(rest.start, max(rest.start, rest.stop))
