@@ -19,16 +19,16 @@ class Scratch:
         self.spark = spark
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-    #: Rows of numbers (ids) that may be sent to every executor: 16 MB for one long each.
-    SENT_ROWS = 1 << 21
+    #: Numbers that may be sent to every executor: 16 MB.
+    SENT_NUMBERS = 1 << 21
 
-    def sent(self, ids: DataFrame, name: str) -> DataFrame:
-        """Write a table of ids; it is marked for broadcast only if its counted rows stay within ``SENT_ROWS``.
+    def sent(self, numbers: DataFrame, name: str) -> DataFrame:
+        """Write a table of numbers; it is marked for broadcast only if they are ``SENT_NUMBERS`` at most, as counted.
 
         Beyond that the planner is free, which means a shuffled join.
         """
-        written = self.write(ids, name)
-        return F.broadcast(written) if written.count() <= self.SENT_ROWS else written
+        written = self.write(numbers, name)
+        return F.broadcast(written) if written.count() * len(written.columns) <= self.SENT_NUMBERS else written
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
