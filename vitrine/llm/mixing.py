@@ -160,12 +160,12 @@ class Rates:
 
 
 def mix(docs: DataFrame, classifier: Classifier, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
-        budget: float | None = None, hold: float = 1e-3, steps: int = 60, tolerance: float = 1e-4) -> Rates:
+        budget: float | None = None, hold: float = 1e-3, steps: int = 30, tolerance: float = 1e-4) -> Rates:
     """Rates per document row: ``docs`` of the result has the id, n_tokens, posterior and rate.
 
     Minimises the squared misfit between the expected tokens of each domain and ``targets`` (weights, scaled to
-    ``budget`` tokens; None: as many as there are), measured in the metric in which one step settles an unconstrained
-    fit, plus ``hold`` times the squared distance of the rates from 1, over rates >= 0.  Stops when no domain's total
+    ``budget`` tokens; None: as many as there are), measured in the metric in which one step settles the fit of the
+    documents above zero, plus ``hold`` times the squared distance of the rates from 1, over rates >= 0.  Stops when no domain's total
     moves or misses by more than ``tolerance`` of the budget, or after ``steps`` steps.
 
     A null or empty text has no tokens: its posterior is that of the intercepts and its rate changes no total.
@@ -191,19 +191,24 @@ def mix(docs: DataFrame, classifier: Classifier, targets: dict[str, float], id_c
     if weight.sum() <= 0:
         raise ValueError("no target weight for any learned domain")
     wanted = weight / weight.sum() * (budget if budget is not None else total) / total
-    metric = np.linalg.inv(second + 1e-6 * np.eye(d))
     rate = 1 / (1 + hold)
     pulls: list[np.ndarray] = []
     before = None
     for _ in range(steps):
-        r = _replayed(pulls, rate, hold)
-        got = base.select(t.alias("t"), p.alias("p"), r.alias("r")).agg(*[F.sum(F.col("t") * F.col("r") * F.col("p")[i]).alias(f"a{i}") for i in range(d)]).first()
+        # totals at the rates so far, and the second moments of the documents that have not reached zero
+        sums = [F.sum(F.col("w") * p[i]).alias(f"a{i}") for i in range(d)]
+        sums += [F.sum(F.when(F.col("w") > 0, t * p[i] * p[j]).otherwise(0.0)).alias(f"m{i}_{j}") for i in range(d) for j in range(i, d)]
+        got = base.withColumn("w", t * _replayed(pulls, rate, hold)).agg(*sums).first()
         now = np.array([got[f"a{i}"] for i in range(d)]) / total
-        if np.abs(now - wanted).max() < tolerance or (before is not None and np.abs(now - before).max() < tolerance / 50):
+        if np.abs(now - wanted).max() < tolerance or (before is not None and np.abs(now - before).max() < tolerance / 10):
             before = now
             break
         before = now
-        pulls.append(metric @ (now - wanted))
+        free = np.zeros((d, d))
+        for i in range(d):
+            for j in range(i, d):
+                free[i, j] = free[j, i] = got[f"m{i}_{j}"] / total
+        pulls.append(np.linalg.solve(free + 0.02 * second + 1e-9 * np.eye(d), now - wanted))
     final = base.withColumn("rate", _replayed(pulls, rate, hold))
     return Rates(final, domains, dict(zip(domains, (before * total).tolist())), dict(zip(domains, (wanted * total).tolist())))
 
