@@ -191,3 +191,13 @@ REQUIRED_REQUEST_FIELDS = ["ram_gb", "ssd_gb", "screen_size_inch", "resolution"]
 OPTIONAL_REQUEST_STRINGS = ["brand", "platform", "panel_type", "operating_system", "cpu_family", "ram_type", "gpu_model"]
 OPTIONAL_REQUEST_INTS = ["cpu_generation", "gpu_vram_gb", "refresh_rate_hz"]
 OPTIONAL_REQUEST_DOUBLES = ["cpu_max_ghz"]
+
+# --- fixed values: title patterns (capacity followed by an optional 'nvme' / 'm.2' and then 'ssd') ---
+_SSD_TAIL = r"\s*(?:nvme\s*)?(?:m\.?2\s*)?(?:ssd|gbssd)\b"
+SSD_TB_PATTERN = r"(?iU)(?<![0-9])([0-9]+(?:\.[0-9]+)?)\s*tb" + _SSD_TAIL
+SSD_GB_PATTERN = r"(?iU)(?<![0-9])([0-9]{1,4})\s*gb" + _SSD_TAIL
+GB_TOKEN = r"(?i)(\d{1,4})\s*gb"
+HZ_TOKEN = r"(?i)(\d{1,3})\s*hz"
+RES_PATTERN = r"(\d{3,4})\s*[x×X]\s*(\d{3,4})"
+# Digits 0-9 of other scripts: full-width, Arabic-Indic, extended Arabic-Indic, Devanagari.
+OTHER_DIGITS = "".join(chr(first + i) for first in (0xFF10, 0x0660, 0x06F0, 0x0966) for i in range(10))

@@ -40,7 +40,8 @@ def ppi_for_request(resolution: Column | str, inch: Column | str) -> Column:
     """Scoring form; integer 'WxH', inch defaults to 15.6 when absent."""
     parts = F.split(F.lower(col_(resolution).cast("string")), "x", -1)
     ok = F.size(parts) == 2
-    w = F.when(ok, try_cast(F.trim(F.get(parts, 0)), "int"))
-    h = F.when(ok, try_cast(F.trim(F.get(parts, 1)), "int"))
+    # whole numbers, multiplied as doubles: five-digit sides do not overflow
+    w = F.when(ok, try_cast(F.trim(F.get(parts, 0)), "int")).cast("double")
+    h = F.when(ok, try_cast(F.trim(F.get(parts, 1)), "int")).cast("double")
     i = F.coalesce(col_(inch).cast("double"), F.lit(15.6))
-    return _finite(F.try_divide(F.sqrt((w * w + h * h).cast("double")), i))
+    return _finite(F.try_divide(F.sqrt(w * w + h * h), i))

@@ -11,28 +11,22 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vitrine.constants import ALLOWED_SSD_GB, DISPLAY_PRIORITIES, RESOLUTION_NAMES
+from vitrine.constants import (
+    ALLOWED_SSD_GB, DISPLAY_PRIORITIES, GB_TOKEN, HZ_TOKEN, OTHER_DIGITS, RES_PATTERN, RESOLUTION_NAMES, SSD_GB_PATTERN, SSD_TB_PATTERN,
+)
 from vitrine.functions.text import col_, py_strip, soft_clean, try_cast
 
-# Capacity followed by an optional 'nvme' / 'm.2' and then 'ssd'.
-_SSD_TAIL = r"\s*(?:nvme\s*)?(?:m\.?2\s*)?(?:ssd|gbssd)\b"
-SSD_TB_PATTERN = r"(?iU)(?<!\d)(\d+(?:\.\d+)?)\s*tb" + _SSD_TAIL
-SSD_GB_PATTERN = r"(?iU)(?<!\d)(\d{1,4})\s*gb" + _SSD_TAIL
-GB_TOKEN = r"(?i)(\d{1,4})\s*gb"
-HZ_TOKEN = r"(?i)(\d{1,3})\s*hz"
-RES_PATTERN = r"(\d{3,4})\s*[x×X]\s*(\d{3,4})"
-
-
 def _title_text(c: Column | str) -> Column:
     # Extractors see str(value): a missing title reads as the text 'none'.
-    return F.coalesce(col_(c).cast("string"), F.lit("None"))
+    # Digits of other scripts count as the ASCII ones.
+    return F.translate(F.coalesce(col_(c).cast("string"), F.lit("None")), OTHER_DIGITS, "0123456789" * (len(OTHER_DIGITS) // 10))
 
 
 def extract_ssd(c: Column | str) -> Column:
     """Largest SSD capacity (TB x1024, half-even) if it is an allowed size."""
     t = soft_clean(_title_text(c))
-    tb = F.transform(F.regexp_extract_all(t, F.lit(SSD_TB_PATTERN), 1), lambda x: F.bround(x.cast("double") * 1024, 0))
-    gb = F.transform(F.regexp_extract_all(t, F.lit(SSD_GB_PATTERN), 1), lambda x: x.cast("double"))
+    tb = F.transform(F.regexp_extract_all(t, F.lit(SSD_TB_PATTERN), 1), lambda x: F.bround(x.try_cast("double") * 1024, 0))
+    gb = F.transform(F.regexp_extract_all(t, F.lit(SSD_GB_PATTERN), 1), lambda x: x.try_cast("double"))
     best = F.array_max(F.concat(tb, gb))
     return F.when(best.isin([float(v) for v in ALLOWED_SSD_GB]), best.cast("int"))
 
@@ -48,14 +42,14 @@ def extract_ram(c: Column | str, ssd: Column | None = None) -> Column:
     ssd_at = F.instr(low, "ssd")  # 1-based, 0 when absent
     scope = F.when(ssd_at == 0, low).otherwise(F.substring(low, F.lit(1), F.greatest(ssd_at - 2, F.lit(0))))
     ssd = extract_ssd(c) if ssd is None else ssd
-    vals = F.transform(F.regexp_extract_all(scope, F.lit(GB_TOKEN), 1), lambda x: x.cast("int"))
+    vals = F.transform(F.regexp_extract_all(scope, F.lit(GB_TOKEN), 1), lambda x: x.try_cast("int"))
     ok = F.filter(vals, lambda v: (v > 0) & (v <= 128) & (ssd.isNull() | (v != ssd)))
     return F.get(ok, 0).cast("double")
 
 
 def extract_refresh_rate(c: Column | str) -> Column:
     """Largest ``N hz`` with 30 <= N <= 360."""
-    vals = F.transform(F.regexp_extract_all(_title_text(c), F.lit(HZ_TOKEN), 1), lambda x: x.cast("int"))
+    vals = F.transform(F.regexp_extract_all(_title_text(c), F.lit(HZ_TOKEN), 1), lambda x: x.try_cast("int"))
     return F.array_max(F.filter(vals, lambda v: (v >= 30) & (v <= 360))).cast("double")
 
 

@@ -17,6 +17,8 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitrine.session import materialise
+
 LABEL = "_y_log"
 
 # MLlib trees cannot grow past depth 30; "unlimited" depth maps to that cap.
@@ -120,63 +122,57 @@ def stacked_predictions(train: DataFrame, test: DataFrame, base: list[tuple[str,
 
 # ----------------------------------------------------------------- exact KNN
 
+_BLOCK = "block long, n int, ids binary, vectors binary, labels binary"
+
+
+def _blocks(rows: int):
+    """Pack (id, vector, label) rows into blocks of at most ``rows``."""
+    def run(batches):
+        for pdf in batches:
+            for start in range(0, len(pdf), rows):
+                part = pdf.iloc[start:start + rows]
+                ids = part.iloc[:, 0].to_numpy(dtype="<i8")
+                vectors = np.stack([np.asarray(v, dtype="<f8") for v in part.iloc[:, 1]])
+                yield pd.DataFrame({"block": [int(ids[0])], "n": [len(ids)], "ids": [ids.tobytes()], "vectors": [vectors.tobytes()],
+                                    "labels": [part.iloc[:, 2].to_numpy(dtype="<f8").tobytes()]})
+    return run
+
+
+def _nearest(k: int, step: int = 32):
+    """k nearest of a train block per row of a test block, by direct differences."""
+    def run(batches):
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                t_ids, ids, labels = (np.frombuffer(x, d) for x, d in ((r.t_ids, "<i8"), (r.ids, "<i8"), (r.labels, "<f8")))
+                tests, trains = (np.frombuffer(x, "<f8").reshape(len(i), -1) for x, i in ((r.t_vectors, t_ids), (r.vectors, ids)))
+                out = []
+                for s in range(0, len(tests), step):
+                    d = np.sqrt(((tests[s:s + step, None, :] - trains[None]) ** 2).sum(axis=2))
+                    order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, :k]
+                    rows = np.repeat(t_ids[s:s + step], order.shape[1])
+                    out.append(pd.DataFrame({"test_id": rows, "train_id": ids[order].ravel(),
+                                             "dist": np.take_along_axis(d, order, 1).ravel(), "label": labels[order].ravel()}))
+                yield pd.concat(out)
+    return run
+
+
 def knn_predict(train: DataFrame, test: DataFrame, k: int = 3, id_col: str = "id", vec: str = "vec",
-                label: str = "label", chunk_rows: int = 20_000, block: int = 1024) -> DataFrame:
+                label: str = "label", block: int = 1024) -> DataFrame:
     """Exact k nearest neighbours (Euclidean, ties by train id), uniform mean of labels.
 
-    No pair table is ever built.  The test side is cut into chunks of at most
-    ``chunk_rows`` rows (a bounded broadcast each); every train partition keeps
-    a running top-k per test row while it streams its Arrow batches
-    (``mapInPandas``), emitting k candidates per test row and partition; a
-    window over those candidates picks the global top k.
+    Both sides are packed into blocks of at most ``block`` rows.  Every test block is dealt to every bucket of train
+    blocks and meets them in an equality join, so no row passes through the driver and no pair table is built; a pair
+    of blocks yields k candidates per test row, and a window with a map-side group limit keeps the k best.  The work
+    is test rows x train rows / cores: exact search has no cheaper form without an index.
     """
-    spark = train.sparkSession
-    from vitrine.ml.prepare import global_rank
-
-    ranked = global_rank(test.select(id_col, vec), [id_col], name="_r")
-    n_test = test.count()
-    outs = []
-    for start in range(0, n_test, chunk_rows):
-        part = ranked.where((F.col("_r") >= start) & (F.col("_r") < start + chunk_rows)).select(id_col, vec).toPandas()
-        ids = part[id_col].to_numpy()
-        mat = np.stack([np.asarray(v, dtype=np.float64) for v in part[vec]]) if len(part) else np.zeros((0, 1))
-        bc = spark.sparkContext.broadcast((ids, mat))
-
-        def local_topk(batches, bc=bc):
-            t_ids, t_mat = bc.value
-            best_d = np.full((len(t_ids), k), np.inf)
-            best_i = np.full((len(t_ids), k), np.iinfo(np.int64).max, dtype=np.int64)
-            best_l = np.zeros((len(t_ids), k))
-            for pdf in batches:
-                if pdf.empty or len(t_ids) == 0:
-                    continue
-                tr = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec]])
-                tr_ids = pdf[id_col].to_numpy(dtype=np.int64)
-                tr_lab = pdf[label].to_numpy(dtype=np.float64)
-                tr_sq = (tr * tr).sum(1)
-                for s in range(0, len(t_ids), block):
-                    q = t_mat[s:s + block]
-                    d2 = (q * q).sum(1)[:, None] + tr_sq[None, :] - 2.0 * q @ tr.T
-                    d = np.sqrt(np.maximum(d2, 0.0))
-                    cd = np.concatenate([best_d[s:s + block], d], 1)
-                    ci = np.concatenate([best_i[s:s + block], np.broadcast_to(tr_ids, d.shape)], 1)
-                    cl = np.concatenate([best_l[s:s + block], np.broadcast_to(tr_lab, d.shape)], 1)
-                    order = np.lexsort((ci, cd), axis=1)[:, :k]
-                    rows = np.arange(len(q))[:, None]
-                    best_d[s:s + block], best_i[s:s + block], best_l[s:s + block] = cd[rows, order], ci[rows, order], cl[rows, order]
-            ok = np.isfinite(best_d)
-            rr, cc = np.nonzero(ok)
-            yield pd.DataFrame({"test_id": t_ids[rr].astype(np.int64), "train_id": best_i[rr, cc],
-                                "dist": best_d[rr, cc], "label": best_l[rr, cc]})
-
-        cand = train.select(id_col, vec, label).mapInPandas(
-            local_topk, "test_id long, train_id long, dist double, label double")
-        outs.append(cand)
-    if not outs:
-        return spark.createDataFrame([], f"{id_col} long, pred double")
-    cand = outs[0]
-    for o in outs[1:]:
-        cand = cand.unionByName(o)
+    trains = materialise(train.select(F.col(id_col).cast("long"), vec, F.col(label).cast("double")).mapInPandas(_blocks(block), _BLOCK), "knn")
+    buckets = max(1, trains.count())
+    tests = test.select(F.col(id_col).cast("long"), vec, F.lit(0.0).alias("_none")).mapInPandas(_blocks(block), _BLOCK)
+    dealt = tests.select(F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_b"), F.col("ids").alias("t_ids"),
+                         F.col("vectors").alias("t_vectors"))
+    kept = trains.select(F.pmod(F.xxhash64("block", "n"), F.lit(buckets)).cast("int").alias("_b"), "ids", "vectors", "labels")
+    pairs = dealt.join(kept, "_b").select("t_ids", "t_vectors", "ids", "vectors", "labels")
+    cand = pairs.mapInPandas(_nearest(k), "test_id long, train_id long, dist double, label double")
     w = Window.partitionBy("test_id").orderBy("dist", "train_id")
     top = cand.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k)
     return top.groupBy(F.col("test_id").alias(id_col)).agg(F.avg("label").alias("pred"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from vitrine.constants import MISSING_LABEL, MODEL_DROP_COLS, TARGET_COL
 from vitrine.operators.quantiles import exact_quantiles, stack_numeric
 from vitrine.operators.schema import columns_of_type
+from vitrine.session import materialise
 
 
 def prune(df: DataFrame, drop_cols: list[str] = MODEL_DROP_COLS, target: str = TARGET_COL) -> tuple[DataFrame, list[str], list[str]]:
@@ -38,17 +39,19 @@ def hash_split(df: DataFrame, key_cols: list[str], train_pct: int = 80, seed: st
 def global_rank(df: DataFrame, order_cols: list[str], name: str = "_rank", partitions: int | None = None) -> DataFrame:
     """0-based position of each row in ``order_cols`` order, computed without a single-task window.
 
-    Range partitions are numbered locally; a table of per-partition counts
-    (one row per partition) supplies the offsets.
+    Range partitions are sorted and numbered locally, and the numbered rows are written once; the offsets (one row
+    per partition) are counted from that same table, so they cannot come from another split into ranges.
     """
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order_cols).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)))
-    counts = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    ranged = df.repartitionByRange(parts, *order_cols).sortWithinPartitions(*order_cols)
+    # the id holds the partition's number above bit 33 and the place in the partition below
+    local = materialise(ranged.withColumn("_at", F.monotonically_increasing_id()), "rank")
+    pid, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    counts = local.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_pid")  # one row per partition: bounded
-            .withColumn(name, F.col("_off") + F.col("_rn") - 1).drop("_pid", "_rn", "_off"))
+    return (local.withColumn("_pid", pid).join(F.broadcast(offsets), "_pid")  # one row per partition: bounded
+            .withColumn(name, F.col("_off") + place).drop("_pid", "_at", "_off"))
 
 
 def contiguous_folds(df: DataFrame, order_cols: list[str], k: int, name: str = "fold") -> DataFrame:

@@ -10,29 +10,36 @@ from vitrine.constants import (
     OPTIONAL_REQUEST_DOUBLES, OPTIONAL_REQUEST_INTS, OPTIONAL_REQUEST_STRINGS, REQUIRED_REQUEST_FIELDS,
 )
 from vitrine.functions.geometry import ppi_for_request
+from vitrine.functions.text import blank_to_null, try_cast
 from vitrine.ml import models as M
 
 REQUIRED_INTS = ["ram_gb", "ssd_gb"]
 
 
-def _is_int(c) -> F.Column:
-    return c.isNull() | (c == F.floor(c))
+def _text(c: str) -> F.Column:
+    """the field as text, blank counts as missing."""
+    return blank_to_null(F.col(c).cast("string"))
+
+
+def _number(c: str) -> F.Column:
+    """The field as a finite number, or NULL."""
+    v = try_cast(_text(c), "double")
+    return F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
 
 
 def validate_requests(req: DataFrame, id_col: str = "request_id") -> DataFrame:
-    """F8: required fields present, integer fields integral; ``reasons`` lists every failure.
+    """F8: required fields present, numeric fields numbers, integer fields integral; ``reasons`` lists every failure.
 
-    Output: id, is_valid, reasons ('' when valid) and the typed request fields.
+    Fields may be typed or text.  Output: id, is_valid, reasons ('' when valid) and the typed request fields.
     """
-    checks = []
-    for c in REQUIRED_REQUEST_FIELDS:
-        checks.append(F.when(F.col(c).isNull(), F.lit(f"{c} missing")))
-    for c in REQUIRED_INTS + OPTIONAL_REQUEST_INTS:
-        checks.append(F.when(~_is_int(F.col(c).cast("double")), F.lit(f"{c} not int")))
+    ints = REQUIRED_INTS + OPTIONAL_REQUEST_INTS
+    doubles = ["screen_size_inch", *OPTIONAL_REQUEST_DOUBLES]
+    checks = [F.when(_text(c).isNull(), F.lit(f"{c} missing")) for c in REQUIRED_REQUEST_FIELDS]
+    checks += [F.when(_text(c).isNotNull() & _number(c).isNull(), F.lit(f"{c} not a number")) for c in ints + doubles]
+    checks += [F.when(_number(c) != F.floor(_number(c)), F.lit(f"{c} not int")) for c in ints]
     reasons = F.concat_ws(",", *checks)
-    typed = [F.col(c).cast("int").alias(c) for c in REQUIRED_INTS + OPTIONAL_REQUEST_INTS]
-    typed += [F.col(c).cast("double").alias(c) for c in ["screen_size_inch", *OPTIONAL_REQUEST_DOUBLES]]
-    typed += [F.col(c).cast("string").alias(c) for c in ["resolution", *OPTIONAL_REQUEST_STRINGS]]
+    typed = [try_cast(_number(c), "int").alias(c) for c in ints] + [_number(c).alias(c) for c in doubles]
+    typed += [_text(c).alias(c) for c in ["resolution", *OPTIONAL_REQUEST_STRINGS]]
     return req.select(id_col, (reasons == "").alias("is_valid"), reasons.alias("reasons"), *typed)
 
 

@@ -134,18 +134,24 @@ def cv_r2(prepared: DataFrame, model_name: str = "LinearRegression", folds: int
                                                                       F.count(F.lit(1)).alias("folds"))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever store it names; other errors are not taken for absence."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def register_champion(spark: SparkSession, pipeline: PipelineModel, name: str, registry_path: str, model_dir: str,
                       alias: str = "champion") -> DataFrame:
     """Save the pipeline under a new version and move the alias to it (append-only registry)."""
     import os
 
-    try:
+    version = 1
+    if path_exists(spark, registry_path):
         reg = spark.read.parquet(registry_path)
         version = (reg.where(F.col("name") == name).agg(F.max("version")).first()[0] or 0) + 1
-    except Exception:
-        version = 1
     path = os.path.join(model_dir, f"{name}_v{version}")
-    pipeline.write().overwrite().save(path)
+    # a version is written once: saving over an existing one fails
+    pipeline.write().save(path)
     row = spark.createDataFrame([(name, version, alias, path)], "name STRING, version INT, alias STRING, path STRING")
     row.withColumn("registered_at", F.current_timestamp()).write.mode("append").parquet(registry_path)
     return row

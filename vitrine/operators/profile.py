@@ -128,14 +128,12 @@ def column_modes(df: DataFrame, cols: list[str]) -> DataFrame:
     """Most frequent non-null value per column; ties -> smallest; none -> 'missing'.
 
     Counts come from one stacked partial aggregate; the winner per column is
-    a ``max_by`` over (count, -value) in a second small aggregate.
+    a ``min_by`` over (-count, value), again with a partial aggregate.
     """
     pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in cols)
     long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, value)").where(F.col("value").isNotNull())
     counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = counts.withColumn("_r", F.row_number().over(
-        Window.partitionBy("column_name").orderBy(F.col("n").desc(), F.col("value"))))
-    best = ranked.where("_r = 1").select("column_name", F.col("value").alias("mode"))
+    best = counts.groupBy("column_name").agg(F.min_by("value", F.struct(-F.col("n"), "value")).alias("mode"))
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name STRING")
     return names.join(best, "column_name", "left").select(
         "column_name", F.coalesce("mode", F.lit(MISSING_LABEL)).alias("mode"))

@@ -6,12 +6,13 @@ Here:
 
 1. ``groupBy(by, value).count()``: a partial aggregate, so a value that
    holds a third of the rows collapses map-side to one row per partition;
-2. the distinct (by, value, count) table is range-partitioned and each range
-   partition takes running counts locally (one task per range);
+2. the distinct (by, value, count) table is range-partitioned, each range
+   partition takes running counts locally, and the result is written once;
 3. per-(partition, group) totals (a table of partitions x groups rows) give
    each partition's starting rank;
-4. the ranks needed for linear interpolation (pandas / ``quantile_cont``
-   rule: h = p * (n - 1)) are joined against each value's rank interval.
+4. one aggregate picks, per group, the values whose rank interval covers the
+   ranks of the linear interpolation (pandas / ``quantile_cont`` rule:
+   h = p * (n - 1)).
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitrine.session import materialise
+
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None,
                     prefix: str = "q", partitions: int | None = None) -> DataFrame:
@@ -33,33 +36,26 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
     counts = df.where(v.isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
     ranged = counts.repartitionByRange(parts, *[F.col(b) for b in by], v).withColumn("_pid", F.spark_partition_id())
     running = Window.partitionBy("_pid", *by).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_cum", F.sum("_c").over(running))
+    # written once: totals and values then belong to the same split into ranges
+    local = materialise(ranged.withColumn("_cum", F.sum("_c").over(running)), "quantiles")
     totals = local.groupBy("_pid", *by).agg(F.max("_cum").alias("_t"))
-    before = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
-    sizes = totals.groupBy(*by).agg(F.sum("_t").alias("_n"))
-    ranked = (local.join(offsets, ["_pid", *by])
-              .select(*by, v.alias("_v"), (F.col("_off") + F.col("_cum") - F.col("_c")).alias("_lo"),
-                      (F.col("_off") + F.col("_cum")).alias("_hi")))
-    # targets: 2 ranks per probability and group (a small table)
-    plist = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(float(p)).alias("_p")) for i, p in enumerate(probs)])
-    tgt = sizes.select(*by, "_n", F.inline(plist)).select(
-        *by, "_i", (F.col("_p") * (F.col("_n") - 1)).alias("_h"), "_n")
-    tgt = tgt.select(*by, "_i", "_h", F.floor("_h").cast("long").alias("_k0"),
-                     F.least(F.floor("_h").cast("long") + 1, F.col("_n") - 1).alias("_k1"))
-    ranks = tgt.select(*by, "_i", F.col("_k0").alias("_k")).union(tgt.select(*by, "_i", F.col("_k1").alias("_k"))).distinct()
-    cond = [ranked[b].eqNullSafe(ranks[b]) for b in by] + [ranks["_k"] >= ranked["_lo"], ranks["_k"] < ranked["_hi"]]
-    picked = ranks.join(ranked, cond, "inner").select(*[ranks[b] for b in by], ranks["_i"], ranks["_k"], ranked["_v"])
-    t = tgt.alias("t")
-    a = picked.alias("a")
-    b = picked.alias("b")
-    jk = lambda x: [F.col(f"t.{c}").eqNullSafe(F.col(f"{x}.{c}")) for c in by]
-    res = (t.join(a, jk("a") + [F.col("t._i") == F.col("a._i"), F.col("t._k0") == F.col("a._k")])
-            .join(b, jk("b") + [F.col("t._i") == F.col("b._i"), F.col("t._k1") == F.col("b._k")])
-            .select(*[F.col(f"t.{c}").alias(c) for c in by], F.col("t._i").alias("_i"),
-                    (F.col("a._v") + (F.col("t._h") - F.col("t._k0")) * (F.col("b._v") - F.col("a._v"))).alias("_q")))
-    return res.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(f"{prefix}_{i}")
-                                  for i in range(len(probs))])
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *by, F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_t").over(group).alias("_n"))
+    placed = local.join(offsets, ["_pid", *by]).select(
+        *by, v.alias("_v"), "_n", (F.col("_off") + F.col("_cum") - F.col("_c")).alias("_lo"), (F.col("_off") + F.col("_cum")).alias("_hi"))
+    # each value covers the ranks [_lo, _hi): one pre-aggregated pass picks both neighbours of every rank asked for
+    picks = []
+    for i, p in enumerate(probs):
+        h = F.lit(float(p)) * (F.col("_n") - 1)
+        k0 = F.floor(h).cast("long")
+        k1 = F.least(k0 + 1, F.col("_n") - 1)
+        picks += [F.max(F.when((F.col("_lo") <= k) & (k < F.col("_hi")), F.col("_v"))).alias(f"_{x}{i}") for x, k in (("a", k0), ("b", k1))]
+        picks.append(F.max(h - k0).alias(f"_w{i}"))
+    res = placed.groupBy(*by).agg(*picks)
+    return res.select(*by, *[(F.col(f"_a{i}") + F.col(f"_w{i}") * (F.col(f"_b{i}") - F.col(f"_a{i}"))).alias(f"{prefix}_{i}")
+                             for i in range(len(probs))])
 
 
 def exact_median(df: DataFrame, value: str, by: list[str] | None = None, name: str = "median") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Streaming and sink round-trip queries (R1, S6, S9, C4) — rows-only checks."""
+"""Streaming and written-layer queries (R1, S6, S9, C4), compared with the batch oracles."""
 
 from __future__ import annotations
 
@@ -6,28 +6,33 @@ import os
 
 from pyspark.sql import functions as F
 
-from vitrine.plans.catalog import register
+from vitrine.plans import oracle as O
+from vitrine.plans.catalog import register, round_doubles
 
 
-@register("incremental_ingest", "R1 S6 C1 C2")
+@register("incremental_ingest", "R1 S6 C1 C2", sql=(
+    "WITH " + O.silver_ctes(snapshot=False) + " SELECT " + O.select_rounded(O.SILVER_COLS, O.SILVER_DOUBLES) + " FROM silver"))
 def q_incremental(spark, sf_dir):
-    """Land the listing bronze as appended files, stream it into silver, read the silver table back."""
+    """Land all days of the listing bronze as many files, the newest day first, and stream them into silver."""
     from vitrine.plans.queries_listing import bronze
-    from vitrine.streaming.ingest import incremental_silver, land_bronze, scratch_root
+    from vitrine.streaming.ingest import incremental_silver, land_bronze, read_silver, scratch_root
 
     root = scratch_root(spark, "incremental")
-    hb, ty = bronze(spark, sf_dir)
-    land_bronze(hb, os.path.join(root, "bronze_hb"))
-    land_bronze(ty, os.path.join(root, "bronze_ty"))
-    hb_schema = spark.read.parquet(os.path.join(root, "bronze_hb")).schema
-    ty_schema = spark.read.parquet(os.path.join(root, "bronze_ty")).schema
+    schemas = []
+    for site, rows in zip(("hb", "ty"), bronze(spark, sf_dir)):
+        path = os.path.join(root, f"bronze_{site}")
+        newest = rows.agg(F.to_date(F.max("created_at"))).scalar()
+        for part in (rows.where(F.to_date("created_at") == newest), rows.where(F.to_date("created_at") != newest)):
+            land_bronze(part.repartition(12), path)
+        schemas.append(spark.read.parquet(path).schema)
     silver_path = os.path.join(root, "silver")
     incremental_silver(spark, os.path.join(root, "bronze_hb"), os.path.join(root, "bronze_ty"), silver_path,
-                       os.path.join(root, "_checkpoint"), hb_schema, ty_schema)
-    return spark.read.parquet(silver_path).drop("processed_at", "created_at", "created_date", "batch_id")
+                       os.path.join(root, "_checkpoint"), *schemas, max_files=16)
+    return round_doubles(read_silver(spark, silver_path).select(*O.SILVER_COLS))
 
 
-@register("etl_run_tables", "C4 C5 S9 S10 S11 S2")
+@register("etl_run_tables", "C4 C5 S9 S10 S11 S2", sql=(
+    "WITH " + O.gold_ctes() + " SELECT " + O.select_rounded(O.SILVER_COLS + ["ppi"], O.SILVER_DOUBLES + ["ppi"]) + " FROM gold"))
 def q_etl_run(spark, sf_dir):
     """C4: snapshot -> merge -> silver (written) -> gold (read back from silver, written)."""
     from vitrine.plans import etl
@@ -37,4 +42,4 @@ def q_etl_run(spark, sf_dir):
     root = scratch_root(spark, "etl")
     hb, ty = bronze(spark, sf_dir)
     _, gold = etl.run(spark, hb, ty, os.path.join(root, "silver"), os.path.join(root, "gold"))
-    return gold.drop("processed_at", "created_at").withColumn("ppi", F.round("ppi", 4))
+    return round_doubles(gold.select(*O.SILVER_COLS, "ppi"))

@@ -177,6 +177,43 @@ def q_validate(spark, sf_dir):
                                   "resolution", "brand"))
 
 
+_TEXT_REQUESTS = {
+    "ram_gb": "CASE WHEN p_size % 7 = 0 THEN 'abc' WHEN p_size % 5 = 0 THEN ' ' WHEN p_size % 3 = 0 THEN concat(CAST(p_size AS {s}), '.5') "
+              "ELSE CAST(p_size AS {s}) END",
+    "ssd_gb": "CASE WHEN p_size % 4 = 0 THEN NULL ELSE '512' END",
+    "screen_size_inch": "CASE WHEN p_size % 6 = 0 THEN 'wide' ELSE '15.6' END",
+    "resolution": "CASE WHEN p_size % 11 = 0 THEN '' ELSE '50000x50000' END",
+}
+
+
+def _text_requests_sql() -> str:
+    fields = ", ".join(f"{e.format(s='VARCHAR')} AS {c}" for c, e in _TEXT_REQUESTS.items())
+    blank = lambda c: f"nullif(trim({c}), '')"
+    number = lambda c: f"TRY_CAST({blank(c)} AS DOUBLE)"
+    checks = [f"CASE WHEN {blank(c)} IS NULL THEN '{c} missing' END" for c in ("ram_gb", "ssd_gb", "screen_size_inch", "resolution")]
+    checks += [f"CASE WHEN {blank(c)} IS NOT NULL AND {number(c)} IS NULL THEN '{c} not a number' END" for c in ("ram_gb", "ssd_gb", "screen_size_inch")]
+    checks += [f"CASE WHEN {number(c)} <> floor({number(c)}) THEN '{c} not int' END" for c in ("ram_gb", "ssd_gb")]
+    reasons = f"concat_ws(',', {', '.join(checks)})"
+    return (f"SELECT p_partkey AS request_id, {reasons} = '' AS is_valid, {reasons} AS reasons FROM "
+            f"(SELECT p_partkey, {fields} FROM part)")
+
+
+@register("validate_requests_text", "F8 F9 P13", sql=_text_requests_sql())
+def q_validate_text(spark, sf_dir):
+    """Requests whose fields arrive as text, some blank or no numbers: rejected with reasons, never an aborted job."""
+    p = table(spark, sf_dir, "part")
+    typed = validate_requests(_requests(spark, sf_dir).limit(0)).columns[3:]
+    fields = [F.expr(_TEXT_REQUESTS[c].format(s="STRING") if c in _TEXT_REQUESTS else "CAST(NULL AS STRING)").alias(c) for c in typed]
+    return validate_requests(p.select(F.col("p_partkey").alias("request_id"), *fields)).select("request_id", "is_valid", "reasons")
+
+
+@register("folds_with_payload", "W4 W6", sql=(
+    "SELECT o_orderkey, o_custkey, round(o_totalprice, 4) AS o_totalprice, ntile(5) OVER (ORDER BY o_orderkey) - 1 AS fold FROM orders"))
+def q_folds_payload(spark, sf_dir):
+    f = contiguous_folds(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), ["o_orderkey"], 5)
+    return round_doubles(f.select("o_orderkey", "o_custkey", "o_totalprice", F.col("fold").cast("long").alias("fold")))
+
+
 @register("history_last_n", "W5 X4", sql=(
     "SELECT event_id, user_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, "
     "event_id DESC) AS rn FROM events) WHERE rn <= 50"))

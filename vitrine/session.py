@@ -9,8 +9,9 @@ apply only to a session that ``get_session`` builds.
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on for correct results (not tuning knobs).
 REQUIRED_CONF = {
@@ -73,6 +74,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared checkpoint folder and return the written table.
+
+    Whatever is derived from the result sees the same rows and partitions, also when a task is run again.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``; also makes it the context's checkpoint folder.
 

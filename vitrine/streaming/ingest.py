@@ -1,52 +1,54 @@
 """Incremental silver from appended bronze files.
 
 Bronze lands as append-only parquet (S6, partitioned by ``created_date``).
-A file-source stream per site, with the bronze schema, is merged (C1),
-deduplicated on the cleaned (title, price text) key within an event-time
-watermark, and each micro-batch runs the SAME silver function as the batch
-job before being appended to the silver table.  ``trigger(availableNow=True)``
-processes what has landed and stops, so the job can be scheduled like the
-batch one; the checkpoint makes a restarted (or executor-lost) run resume
-exactly where it stopped.
-
-Difference to batch, kept and documented: within the watermark the stream
-keeps the FIRST copy of a (title, price) key, batch keep-last keeps the last.
+A file-source stream per site, with the bronze schema, is merged (C1), and
+each micro-batch runs the SAME silver function as the batch job.  Its rows,
+with the key (title, price text) and the input order of each, replace the
+folder ``batch_id=N``: a batch that is run again after its write leaves one
+copy.  ``read_silver`` keeps the last copy of a key over all batches; keep-last
+by a fixed order is associative, so the result is the batch job's over all
+landed rows, whatever the number or order of files.  No watermark: no row is
+late.  ``trigger(availableNow=True)`` processes what has landed and stops.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions.text import clean_text
+from vitrine.operators.dedup import keep_last
 from vitrine.plans import etl
 
 
-def bronze_stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(path)
+PRICE_KEY = "_price_key"
+
+
+def bronze_stream(spark: SparkSession, path: str, schema, max_files: int = 64) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
 def incremental_silver(spark: SparkSession, hb_path: str, ty_path: str, silver_path: str, checkpoint: str,
-                       hb_schema, ty_schema, watermark: str = "2 hours") -> None:
+                       hb_schema, ty_schema, max_files: int = 64) -> None:
     """Run the stream until the landed files are processed (availableNow)."""
-    merged = etl.merge_sources(bronze_stream(spark, hb_path, hb_schema), bronze_stream(spark, ty_path, ty_schema))
-    keyed = (merged.withColumn("_k_title", clean_text(F.col("Başlık")))
-             .withColumn("_k_price", clean_text(F.col("Fiyat (TRY)")))
-             .withWatermark("created_at", watermark)
-             .dropDuplicatesWithinWatermark(["_k_title", "_k_price"])
-             .drop("_k_title", "_k_price"))
+    merged = etl.merge_sources(bronze_stream(spark, hb_path, hb_schema, max_files), bronze_stream(spark, ty_path, ty_schema, max_files))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = etl.finalize(etl.silver(batch), stamp=True).withColumn("batch_id", F.lit(batch_id))
-        out.write.mode("append").parquet(silver_path)
+        keyed = batch.withColumn(PRICE_KEY, clean_text(F.col("Fiyat (TRY)")))
+        etl.silver(keyed).write.mode("overwrite").parquet(f"{silver_path}/batch_id={batch_id}")
 
-    q = (keyed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    q = (merged.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def read_silver(spark: SparkSession, silver_path: str) -> DataFrame:
+    """The last copy of every (title, price text) over all batches, in the declared column order."""
+    rows = spark.read.parquet(silver_path).drop("batch_id")
+    order = [c for c in etl.ORDER_COLS if c in rows.columns]
+    return etl.finalize(keep_last(rows, ["title", PRICE_KEY], order).drop(PRICE_KEY), stamp=True)
+
+
 def land_bronze(df: DataFrame, path: str) -> None:
     """S6 for the landing zone: append, partitioned by the ingest day."""
     from vitrine.sources.sinks import append_with_stamp
@@ -60,7 +62,4 @@ def scratch_root(spark: SparkSession, name: str) -> str:
 
     from vitrine.session import checkpoint_dir
 
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
