@@ -57,8 +57,8 @@ def get_session(master: str | None = None, app: str = "vitrine", shuffle_partiti
 
 #: Bounds on one Arrow batch to a Python worker, set only where the session has Spark's own defaults.
 BATCH_CONF = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"),
-    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "16777216b"),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4194304b"),
 }
 
 
