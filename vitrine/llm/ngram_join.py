@@ -15,7 +15,9 @@ components.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ from vitrine.llm.components import connected_components
 from vitrine.llm.scratch import Scratch
 
 U64 = np.uint64
+#: Passes over the cells.
+PASSES = 4
 #: Documents per block of a cell that is compared in tiles.
 BLOCK = 256
 
@@ -42,6 +46,24 @@ class Bands:
         while edges[-1] < 1 << 40:
             edges.append(max(edges[-1] + 1, int(edges[-1] * ratio)))
         self.lows = np.array(edges, dtype=np.int64)
+        self._cuts: dict[int, tuple[int, int]] = {}
+
+    def _cut(self, tile: int) -> tuple[int, int]:
+        """(ranges, spare) of a tile: one range more than two linked sets of its sizes can differ in, and spare ones.
+
+        So many empty ranges need no cell of their own; the spare covers what a set of the tile's smallest size leaves
+        empty by chance (mean and four deviations), since cells of empty ranges would hold unrelated sets.
+        """
+        if tile not in self._cuts:
+            low, high = int(self.lows[tile]), int(self.lows[tile + 1]) - 1
+            differ = 2 * high * (self.den - self.num) // (self.den + self.num)
+            spare = min(1, differ)
+            for _ in range(6 if differ else 0):
+                ranges = differ + 1 + spare
+                empty = ranges * math.exp(-low * self.num / self.den / ranges)
+                spare = max(1, min(differ, math.ceil(empty + 4 * math.sqrt(empty))))
+            self._cuts[tile] = differ + 1 + spare, spare
+        return self._cuts[tile]
 
     def tiles(self, n: int) -> list[tuple[int, int, int]]:
         """(tile, ranges, empty ranges that may go unnamed) of a set of n >= 1 shingles."""
@@ -49,11 +71,7 @@ class Bands:
         out = []
         tile = own
         while tile == own or n * self.den >= self.num * int(self.lows[tile]):
-            high = int(self.lows[tile + 1]) - 1
-            differ = 2 * high * (self.den - self.num) // (self.den + self.num)
-            # one spare range, and one more per hundred: so many empty ranges need no cell of their own
-            spare = 1 + differ // 100 if differ else 0
-            out.append((tile, differ + 1 + spare, spare))
+            out.append((tile, *self._cut(tile)))
             tile += 1
         return out
 
@@ -217,12 +235,26 @@ def jaccard_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
     shared = classes.where("rep < last").select("cls", "rep")
     copies = scratch.sent(live.select("cls", "doc_id").join(shared, "cls").where("doc_id != rep").select("cls", "doc_id"), "copies")
     reps = live.join(copies, ["cls", "doc_id"], "left_anti")
-    # cells with several members
-    signs = reps.select("cls", F.explode("cells").alias("cell"))
-    cells = signs.groupBy("cell").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi")
-    members = scratch.write(signs.join(cells.select("cell"), "cell"), "members")
+    # cells with several members, in passes over a share of the cells, so that one share's shuffle is on disk at a time
+    shares = []
+    for i in range(PASSES):
+        signs = reps.select("cls", F.explode(F.filter("cells", lambda c: F.pmod(c, F.lit(PASSES)) == i)).alias("cell"))
+        cells = signs.groupBy("cell").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi")
+        shares.append(scratch.write(signs.join(cells.select("cell"), "cell").distinct(), f"members-{i}"))
+    members = reduce(DataFrame.unionByName, shares)
+    # cells with the same members say the same: one of them stays
+    same = members.groupBy("cell").agg(F.bit_xor(F.xxhash64("cls")).alias("x"), F.sum(F.col("cls").bitwiseAND(0xFFFFFFFF)).alias("s"),
+                                       F.count("*").alias("m"))
+    one = same.groupBy("x", "s", "m").agg(F.min("cell").alias("cell")).select("cell")
+    members = scratch.write(members.join(one, "cell"), "members")
+    for i in range(PASSES):
+        scratch.drop(f"members-{i}")
     involved = members.select("cls").distinct()
     small = scratch.write(reps.select("cls", "doc_id", "n", "bitmap").join(involved, "cls", "left_semi").distinct(), "small")
+    # only the ids and classes are needed from here on; the cells and bitmaps of all documents go
+    slim = scratch.write(profiles.select("doc_id", "n", "cls"), "slim")
+    scratch.drop("profiles")
+    live = slim.where(F.col("doc_id").isNotNull() & F.col("cls").isNotNull())
     asked = scratch.sent(small.select("cls", "doc_id"), "asked")
     texts = scratch.write(rows.join(asked, "doc_id").select("cls", "text"), "texts")
 
@@ -258,7 +290,7 @@ def jaccard_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
     tiles = dealt.join(small.select("cls", "n", "bitmap"), "cls").groupBy("cell", "i", "j").applyInArrow(
         _tile_pairs(bands), "a long, b long")
     component = _merged(scratch, component, verify(tiles.distinct(), "tile"), "tile")
-    out = profiles.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(
+    out = slim.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(
         component.select(F.col("node").alias("cls"), "component"), "cls", "left")
     out = scratch.write(out.withColumn("component", F.coalesce("component", "cls")), "placed")
     least = out.where(F.col("component").isNotNull() & F.col("doc_id").isNotNull()).groupBy("component").agg(
