@@ -84,7 +84,7 @@ def test_knn_matches_brute_force(spark):
     lab = rng.integers(0, 10, 300).astype(float)
     train = spark.createDataFrame([(i, tr[i].tolist(), float(lab[i])) for i in range(300)], "id LONG, vec ARRAY<DOUBLE>, label DOUBLE")
     test = spark.createDataFrame([(1000 + i, te[i].tolist(), 0.0) for i in range(40)], "id LONG, vec ARRAY<DOUBLE>, label DOUBLE")
-    got = {r["id"]: r["pred"] for r in knn_predict(train.repartition(4), test, k=3, chunk_rows=15, block=7).collect()}
+    got = {r["id"]: r["pred"] for r in knn_predict(train.repartition(4), test, k=3, block=7).collect()}
     for i in range(40):
         d = np.sqrt(((tr - te[i]) ** 2).sum(1))
         idx = np.lexsort((np.arange(300), d))[:3]
