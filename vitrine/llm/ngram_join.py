@@ -278,14 +278,17 @@ def jaccard_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
         pairs = stars.select(F.least("cls", "lead.cls").alias("a"), F.greatest("cls", "lead.cls").alias("b")).distinct()
         found = verify(pairs, f"star-{turn}")
         component = _merged(scratch, component, links.unionByName(found) if turn == 0 else found, f"star-{turn}")
-    # cells that still hold several components: all pairs across components, tile by tile
+    # cells that still hold several components: all pairs across components, tile by tile; members of the cell's largest
+    # component only meet members of others, so a cell held by one component costs little more than its members
     placed = _placed(members, component)
-    mixed = placed.groupBy("cell").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"))
+    held = placed.groupBy("cell", "component").agg(F.count("*").alias("c")).groupBy("cell").agg(
+        F.max_by("component", F.struct("c", "component")).alias("main"), F.max("c").alias("top"), F.sum("c").alias("m"))
     # of two members, one led the cell and met the other
-    open_cells = scratch.write(placed.join(mixed.where("lo < hi AND m > 2").select("cell", "m"), "cell"), "open")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    dealt = (open_cells.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    open_cells = scratch.write(placed.join(held.where("top < m AND m > 2"), "cell"), "open")
+    blocks, others = F.ceil(F.col("top") / BLOCK).cast("int"), F.ceil((F.col("m") - F.col("top")) / BLOCK).cast("int")
+    in_main, sign = F.col("component") == F.col("main"), F.xxhash64("cls")
+    dealt = (open_cells.withColumn("block", F.when(in_main, others + F.pmod(sign, blocks)).otherwise(F.pmod(sign, others)).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(in_main, others).otherwise(others + blocks) - 1)))
              .select("cell", "cls", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
     tiles = dealt.join(small.select("cls", "n", "bitmap"), "cls").groupBy("cell", "i", "j").applyInArrow(
         _tile_pairs(bands), "a long, b long")
