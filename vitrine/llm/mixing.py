@@ -117,9 +117,11 @@ def fit(labelled: DataFrame, counts: dict[str, int], text_col: str = "text") ->
     return Classifier(domains, weights)
 
 
-def posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
-    """``docs`` (or only its ``columns``) with n_tokens (words of the whole text) and the array ``posterior``."""
-    kept = [f for f in docs.schema.fields if f.name not in ("n_tokens", "posterior") and (columns is None or f.name in columns)]
+def posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "text", columns: list[str] | None = None,
+               tokens_out: str = "n_tokens", posterior_out: str = "posterior") -> DataFrame:
+    """``docs`` (or only its ``columns``) with the words of the whole text and the array of posteriors; columns of
+    ``docs`` with one of these two names fall away."""
+    kept = [f for f in docs.schema.fields if f.name not in (tokens_out, posterior_out) and (columns is None or f.name in columns)]
     names = [f.name for f in kept]
     source = docs.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{text_col}`").cast("string").alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
@@ -133,22 +135,22 @@ def posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "text",
             tokens = np.concatenate([f[1] for f in found]) if found else np.zeros(0)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * p.shape[1]), pa.array(p.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], pa.array(tokens.astype(np.int64)), lists],
-                                             names=[*names, "n_tokens", "posterior"])
+                                             names=[*names, tokens_out, posterior_out])
 
-    return source.mapInArrow(run, StructType([*kept, StructField("n_tokens", LongType()), StructField("posterior", ArrayType(DoubleType()))]))
+    return source.mapInArrow(run, StructType([*kept, StructField(tokens_out, LongType()), StructField(posterior_out, ArrayType(DoubleType()))]))
 
 
 def _dot(vector: Column, weights: Column) -> Column:
     return F.aggregate(F.zip_with(vector, weights, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
 
 
-def _replayed(pulls: list[np.ndarray], pull_rate: float, hold: float) -> Column:
+def _replayed(posterior: Column, pulls: list[np.ndarray], pull_rate: float, hold: float) -> Column:
     """The rate after the projected steps so far: r <- max(0, r - rate * (posterior . pull + hold * (r - 1)))."""
     if not pulls:
         return F.lit(1.0)
     steps = F.array(*[F.array(*[F.lit(float(x)) for x in pull]) for pull in pulls])
     return F.aggregate(steps, F.lit(1.0), lambda r, pull: F.greatest(
-        F.lit(0.0), r - F.lit(pull_rate) * (_dot(F.col("posterior"), pull) + F.lit(hold) * (r - F.lit(1.0)))))
+        F.lit(0.0), r - F.lit(pull_rate) * (_dot(posterior, pull) + F.lit(hold) * (r - F.lit(1.0)))))
 
 
 @dataclass
@@ -157,6 +159,12 @@ class Rates:
     domains: list[str]
     totals: dict[str, float]
     wanted: dict[str, float]
+    pulls: list[np.ndarray]
+    hold: float
+
+    def rate(self, posterior: Column) -> Column:
+        """The fitted rate of a document with this posterior."""
+        return _replayed(posterior, self.pulls, 1 / (1 + self.hold), self.hold)
 
 
 def mix(docs: DataFrame, classifier: Classifier, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
@@ -182,7 +190,7 @@ def mix(docs: DataFrame, classifier: Classifier, targets: dict[str, float], id_c
     first = base.agg(F.sum("n_tokens").alias("tokens"), *moments).first() if d else None
     total = float(first["tokens"] or 0) if first else 0.0
     if d < 2 or total == 0:
-        return Rates(base.withColumn("rate", F.lit(1.0)), domains, {}, {})
+        return Rates(base.withColumn("rate", F.lit(1.0)), domains, {}, {}, [], hold)
     second = np.zeros((d, d))
     for i in range(d):
         for j in range(i, d):
@@ -198,7 +206,7 @@ def mix(docs: DataFrame, classifier: Classifier, targets: dict[str, float], id_c
         # totals at the rates so far, and the second moments of the documents that have not reached zero
         sums = [F.sum(F.col("w") * p[i]).alias(f"a{i}") for i in range(d)]
         sums += [F.sum(F.when(F.col("w") > 0, t * p[i] * p[j]).otherwise(0.0)).alias(f"m{i}_{j}") for i in range(d) for j in range(i, d)]
-        got = base.withColumn("w", t * _replayed(pulls, rate, hold)).agg(*sums).first()
+        got = base.withColumn("w", t * _replayed(p, pulls, rate, hold)).agg(*sums).first()
         now = np.array([got[f"a{i}"] for i in range(d)]) / total
         if np.abs(now - wanted).max() < tolerance or (before is not None and np.abs(now - before).max() < tolerance / 10):
             before = now
@@ -209,8 +217,8 @@ def mix(docs: DataFrame, classifier: Classifier, targets: dict[str, float], id_c
             for j in range(i, d):
                 free[i, j] = free[j, i] = got[f"m{i}_{j}"] / total
         pulls.append(np.linalg.solve(free + 0.02 * second + 1e-9 * np.eye(d), now - wanted))
-    final = base.withColumn("rate", _replayed(pulls, rate, hold))
-    return Rates(final, domains, dict(zip(domains, (before * total).tolist())), dict(zip(domains, (wanted * total).tolist())))
+    final = base.withColumn("rate", _replayed(p, pulls, rate, hold))
+    return Rates(final, domains, dict(zip(domains, (before * total).tolist())), dict(zip(domains, (wanted * total).tolist())), pulls, hold)
 
 
 def copies(rate: Column, *key: Column) -> Column:
