@@ -62,6 +62,16 @@ FINAL_COLUMN_ORDER = [
     "platform", "url", "scraped_at", "processed_at",
 ]
 
+# FIXED VALUES: class names and test ids of the two sites' pages.
+TY_PAGE = {
+    "card": "product-card", "brand": "product-brand", "name": "product-name", "price": "single-price",
+    "title": "product-title", "row": "attribute-item", "label": "name", "value": "value",
+}
+HB_PAGE = {
+    "price": "final-price", "title": "title", "brand": "brand",
+    "row": "jkj4C4LML4qv2Iq8GkL3", "label": "OXP5AzPvafgN_i3y6wGp", "value": "AxM3TmSghcDRH1F871Vh",
+}
+
 # Detail-page labels kept by the extractor, per site (24 each).
 TY_FIELDS = [
     "Başlık", "Marka", "Kullanım Amacı", "Renk", "Cihaz Ağırlığı", "İşlemci Tipi",
