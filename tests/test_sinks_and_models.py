@@ -21,7 +21,9 @@ def test_csv_source_keeps_doubled_quotes(spark, tmp_path):
     p.write_text('Başlık,Fiyat (TRY)\n"Lenovo 15.6"" FHD, 16GB","24.999 TL"\nplain,"1.000 TL"\n', encoding="utf-8")
     rows = read_bronze_csv(spark, str(p)).collect()
     assert rows[0]["Başlık"] == 'Lenovo 15.6" FHD, 16GB' and rows[0]["Fiyat (TRY)"] == "24.999 TL"
-    assert dict(read_bronze_csv(spark, str(p)).dtypes) == {"Başlık": "string", "Fiyat (TRY)": "string"}
+    assert dict(read_bronze_csv(spark, str(p)).dtypes) == {
+        "Başlık": "string", "Fiyat (TRY)": "string", "_seq": "bigint"}
+    assert rows[0]["_seq"] < rows[1]["_seq"]
 
 
 def test_append_sink_and_route(spark, tmp_path):
@@ -95,3 +97,43 @@ def test_latest_snapshot_prunes_partitions(spark, tmp_path):
     with contextlib.redirect_stdout(buf):
         snap.explain()
     assert "PartitionFilters: [isnotnull(created_date" in buf.getvalue()
+
+
+def test_champion_is_stored_with_metrics_and_options(spark, tmp_path):
+    from vitrine.plans import queries_ml as Q
+    from vitrine.plans.report import benchmark_tune_register
+
+    gold = Q._gold(spark, SF)
+    reg, models = str(tmp_path / "registry"), str(tmp_path / "models")
+    done = benchmark_tune_register(spark, gold, reg, models, ["url"], model_names=["Ridge", "Lasso"], trials=2)
+    assert done["winner"] in ("Ridge", "Lasso") and done["trials"].count() == 2
+    champion, info = load_champion(spark, reg, "listing_price")
+    assert info == "listing_price (v1)"
+    out = champion.transform(gold)
+    assert out.where("pred IS NULL OR abs(pred - expm1(_pred_log)) > 1e-6 * abs(pred)").count() == 0
+    stored = spark.read.parquet(os.path.join(models, "model_runs")).first()
+    assert stored["model"] == done["winner"] and stored["test_rmse"] > 0 and stored["version"] == 1
+    options = spark.read.json(os.path.join(models, "listing_price_v1_options")).first()["options"].asDict()
+    assert "brand" in options and options["brand"] == sorted(options["brand"])
+    # the winner without a search space registers nothing
+    none = benchmark_tune_register(spark, gold, reg, models, ["url"], model_names=["LinearRegression"])
+    assert none["registered"] is None and spark.read.parquet(reg).count() == 1
+
+
+def test_metrics_match_sql_over_written_predictions(spark, tmp_path):
+    import duckdb
+
+    from vitrine.ml.evaluate import run_record
+    from vitrine.plans import queries_ml as Q
+
+    prepared, *_ = Q._prepared(spark, SF)
+    for name in ("LinearRegression", "Ridge", "Lasso"):
+        model = M.fit(name, prepared.where("split = 'train'"))
+        path = str(tmp_path / name)
+        M.predict_price(model, prepared).select("split", F.col("price_try").alias("y"), "pred").write.parquet(path)
+        got = run_record(spark.read.parquet(path)).first()
+        test, train = (duckdb.sql(
+            f"SELECT sqrt(avg((y - pred) ** 2)), avg(abs(y - pred)), 1 - sum((y - pred) ** 2) / sum((y - m) ** 2) FROM "
+            f"(SELECT *, avg(y) OVER () AS m FROM '{path}/*.parquet' WHERE split = '{s}')").fetchall()[0] for s in ("test", "train"))
+        want = {"test_rmse": test[0], "test_mae": test[1], "test_r2": test[2], "train_rmse": train[0], "overfit_gap": test[0] - train[0]}
+        assert all(abs(got[k] - v) <= 1e-9 * max(1.0, abs(v)) for k, v in want.items()), name

@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml import Model
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
 )
@@ -21,8 +22,11 @@ from vitrine.session import materialise
 
 LABEL = "_y_log"
 
-# MLlib trees cannot grow past depth 30; "unlimited" depth maps to that cap.
+# MLlib trees cannot grow past depth 30.
 MAX_TREE_DEPTH = 30
+# Depth of forest trees when a configuration names none: each level is a pass over the rows and doubles the nodes the
+# driver holds, so depth is a setting here, never "until the leaves are pure".
+DEFAULT_TREE_DEPTH = 15
 
 
 def make_estimator(name: str, params: dict | None = None, y_stats: tuple[int, float] | None = None,
@@ -45,9 +49,9 @@ def make_estimator(name: str, params: dict | None = None, y_stats: tuple[int, fl
     if name == "DecisionTree":
         return DecisionTreeRegressor(maxDepth=int(p.get("max_depth", 8)), seed=seed, **common)
     if name in ("RandomForest", "ExtraTrees"):
-        depth = p.get("max_depth")
+        depth = p.get("max_depth") or DEFAULT_TREE_DEPTH
         return RandomForestRegressor(
-            numTrees=int(p.get("n_estimators", 100)), maxDepth=int(min(depth, MAX_TREE_DEPTH)) if depth else MAX_TREE_DEPTH,
+            numTrees=int(p.get("n_estimators", 100)), maxDepth=int(min(depth, MAX_TREE_DEPTH)),
             minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
             subsamplingRate=float(p.get("max_samples", 1.0)),
             # ExtraTrees has no MLlib learner: un-bootstrapped trees draw a random
@@ -76,6 +80,11 @@ def predict_price(model: Model, df: DataFrame, name: str = "pred") -> DataFrame:
     return model.transform(df).withColumn(name, F.expm1("_pred_log")).drop("_pred_log")
 
 
+def in_currency() -> SQLTransformer:
+    """M10 as a pipeline stage: a saved pipeline that ends in it predicts prices, not logs."""
+    return SQLTransformer(statement="SELECT *, expm1(_pred_log) AS pred FROM __THIS__")
+
+
 def fit(name: str, train: DataFrame, params: dict | None = None, features: str = "features") -> Model:
     """Fit one configured model on a prepared frame that has ``features`` and ``_y_log``."""
     y_stats = None

@@ -11,7 +11,6 @@ from vitrine.constants import (
 )
 from vitrine.functions.geometry import ppi_for_request
 from vitrine.functions.text import blank_to_null, try_cast
-from vitrine.ml import models as M
 
 REQUIRED_INTS = ["ram_gb", "ssd_gb"]
 
@@ -43,10 +42,9 @@ def validate_requests(req: DataFrame, id_col: str = "request_id") -> DataFrame:
     return req.select(id_col, (reasons == "").alias("is_valid"), reasons.alias("reasons"), *typed)
 
 
-def score_requests(valid: DataFrame, pipeline: PipelineModel, model, model_info: str, id_col: str = "request_id") -> DataFrame:
-    """PPI from the request, features, prediction (expm1 of the log model), 2 dp, currency, label."""
-    feats = valid.withColumn("ppi", ppi_for_request("resolution", "screen_size_inch"))
-    scored = M.predict_price(model, pipeline.transform(feats))
+def score_requests(valid: DataFrame, champion: PipelineModel, model_info: str, id_col: str = "request_id") -> DataFrame:
+    """PPI from the request, price of the stored champion, 2 dp, currency, label."""
+    scored = champion.transform(valid.withColumn("ppi", ppi_for_request("resolution", "screen_size_inch")))
     return scored.select(id_col, F.round("pred", 2).alias("predicted_price_try"), F.lit("TRY").alias("currency"),
                          F.lit(model_info).alias("model_info"))
 

@@ -20,6 +20,7 @@ from vitrine.constants import BENCHMARK_MODELS, SEARCH_SPACES, TARGET_COL, TUNIN
 from vitrine.ml import models as M
 from vitrine.ml.evaluate import metrics_by_split, run_record
 from vitrine.ml.prepare import contiguous_folds, fit_preprocessor, hash_split, prune
+from vitrine.sources.sinks import append_metrics, write_options_json
 
 # Independent fits (models, trials, folds) are submitted as concurrent Spark
 # jobs, like CrossValidator(parallelism=...): small fits are bound by job
@@ -32,7 +33,7 @@ def _parallel(fn, items, parallelism: int = PARALLELISM) -> list:
         return list(pool.map(fn, items))
 
 
-RUN_SCHEMA = "model STRING, ord INT, test_rmse DOUBLE, test_mae DOUBLE, test_r2 DOUBLE, train_rmse DOUBLE, overfit_gap DOUBLE"
+RUN_SCHEMA = "model STRING, learner STRING, ord INT, test_rmse DOUBLE, test_mae DOUBLE, test_r2 DOUBLE, train_rmse DOUBLE, overfit_gap DOUBLE"
 
 
 def prepare_training(gold: DataFrame, key_cols: list[str], target: str = TARGET_COL, train_pct: int = 80,
@@ -49,7 +50,10 @@ def prepare_training(gold: DataFrame, key_cols: list[str], target: str = TARGET_
 
 
 def benchmark(prepared: DataFrame, model_names: list[str] = BENCHMARK_MODELS, target: str = TARGET_COL) -> DataFrame:
-    """M21 + M22: fit every configured model on the train split, one run record per model."""
+    """M21 + M22: fit every configured model on the train split, one run record per model.
+
+    ``model`` is the name in the configuration, ``learner`` what was trained for it.
+    """
     spark = prepared.sparkSession
     train = prepared.where("split = 'train'")
 
@@ -58,7 +62,7 @@ def benchmark(prepared: DataFrame, model_names: list[str] = BENCHMARK_MODELS, ta
         model = M.fit(name, train)
         pred = M.predict_price(model, prepared).select("split", F.col(target).alias("y"), "pred")
         rec = run_record(pred).first()
-        return (name, i, rec["test_rmse"], rec["test_mae"], rec["test_r2"], rec["train_rmse"], rec["overfit_gap"])
+        return (name, type(model).__name__.removesuffix("Model"), i, rec["test_rmse"], rec["test_mae"], rec["test_r2"], rec["train_rmse"], rec["overfit_gap"])
 
     return spark.createDataFrame(_parallel(run, list(enumerate(model_names))), RUN_SCHEMA)
 
@@ -141,8 +145,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def register_champion(spark: SparkSession, pipeline: PipelineModel, name: str, registry_path: str, model_dir: str,
-                      alias: str = "champion") -> DataFrame:
-    """Save the pipeline under a new version and move the alias to it (append-only registry)."""
+                      alias: str = "champion", metrics: DataFrame | None = None, options: DataFrame | None = None) -> DataFrame:
+    """Save the pipeline under a new version and move the alias to it (append-only registry).
+
+    ``metrics`` (one run record) goes to the ``model_runs`` table beside the models, ``options`` (one row) beside the
+    version.
+    """
     import os
 
     version = 1
@@ -152,6 +160,10 @@ def register_champion(spark: SparkSession, pipeline: PipelineModel, name: str, r
     path = os.path.join(model_dir, f"{name}_v{version}")
     # a version is written once: saving over an existing one fails
     pipeline.write().save(path)
+    if options is not None:
+        write_options_json(options, f"{path}_options")
+    if metrics is not None:
+        append_metrics(metrics.select(F.lit(name).alias("name"), F.lit(version).alias("version"), "*"), os.path.join(model_dir, "model_runs"))
     row = spark.createDataFrame([(name, version, alias, path)], "name STRING, version INT, alias STRING, path STRING")
     row.withColumn("registered_at", F.current_timestamp()).write.mode("append").parquet(registry_path)
     return row

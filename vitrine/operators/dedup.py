@@ -8,7 +8,7 @@ of landing whole in one window task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,6 +32,11 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return picked.select(*[F.col(k) for k in keys], *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
 
 
+def text_digest(text: str) -> list[Column]:
+    """Short key of a long text (256-bit digest and length), so that texts themselves are not shuffled; NULL stays NULL."""
+    return [F.sha2(F.col(text).cast("binary"), 256).alias("text_digest"), F.octet_length(text).alias("text_length")]
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Full-row dedup; all copies are equal so any one is kept."""
     return df.distinct()

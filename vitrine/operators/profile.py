@@ -139,13 +139,13 @@ def column_modes(df: DataFrame, cols: list[str]) -> DataFrame:
         "column_name", F.coalesce("mode", F.lit(MISSING_LABEL)).alias("mode"))
 
 
-def fill_with(df: DataFrame, stats: DataFrame, key: str = "column_name", value: str = "fill") -> DataFrame:
+def fill_with(df: DataFrame, stats: DataFrame, key: str = "column_name", value: str = "fill", names: list[str] | None = None) -> DataFrame:
     """M3 / M9: fill NULLs with a per-column value from a (column_name, fill) table.
 
-    Each fill value is a scalar subquery over the small stats table.
+    Each fill value is a scalar subquery over the small stats table; ``names`` (the columns it has) saves a job.
     """
-    cols = [c for c in df.columns]
-    names = {r[0] for r in stats.select(key).distinct().collect()}  # bounded: one per column
+    if names is None:
+        names = [r[0] for r in stats.select(key).distinct().collect()]  # bounded: one per column
     return df.select(*[
         F.coalesce(F.col(c), stats.where(F.col(key) == c).select(F.col(value).cast(t)).scalar()).alias(c)
         if c in names else F.col(c)

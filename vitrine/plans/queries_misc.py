@@ -31,7 +31,7 @@ def q_incremental(spark, sf_dir):
     return round_doubles(read_silver(spark, silver_path).select(*O.SILVER_COLS))
 
 
-@register("etl_run_tables", "C4 C5 S9 S10 S11 S2", sql=(
+@register("etl_run_tables", "C4 S9 S2", sql=(
     "WITH " + O.gold_ctes() + " SELECT " + O.select_rounded(O.SILVER_COLS + ["ppi"], O.SILVER_DOUBLES + ["ppi"]) + " FROM gold"))
 def q_etl_run(spark, sf_dir):
     """C4: snapshot -> merge -> silver (written) -> gold (read back from silver, written)."""
@@ -43,3 +43,21 @@ def q_etl_run(spark, sf_dir):
     hb, ty = bronze(spark, sf_dir)
     _, gold = etl.run(spark, hb, ty, os.path.join(root, "silver"), os.path.join(root, "gold"))
     return round_doubles(gold.select(*O.SILVER_COLS, "ppi"))
+
+
+@register("etl_run_csv", "C5 S5 S8 S11", sql=(
+    "WITH " + O.gold_ctes() + " SELECT " + O.select_rounded(O.SILVER_COLS + ["ppi"], O.SILVER_DOUBLES + ["ppi"]) + " FROM gold"))
+def q_etl_csv(spark, sf_dir):
+    """The latest snapshot as one CSV folder per site, read back as text, silver and gold as CSV."""
+    from vitrine.plans import etl
+    from vitrine.plans.queries_listing import bronze
+    from vitrine.sources.sinks import write_csv
+    from vitrine.sources.tables import latest_snapshot, read_bronze_csv
+    from vitrine.streaming.ingest import scratch_root
+
+    root = scratch_root(spark, "etl-csv")
+    hb, ty = (read_bronze_csv(spark, write_csv(latest_snapshot(rows).drop("created_at"), root, site, "raw"))
+              for site, rows in zip(("hb", "ty"), bronze(spark, sf_dir)))
+    _, gold = etl.run(spark, hb, ty, os.path.join(root, "silver"), os.path.join(root, "gold"), fmt="csv")
+    doubles = O.SILVER_DOUBLES + ["ppi"]
+    return round_doubles(gold.select(*[F.col(c).cast("double").alias(c) if c in doubles else c for c in [*O.SILVER_COLS, "ppi"]]))

@@ -14,6 +14,7 @@ from vitrine.ml.score import newest_n, score_requests, validate_requests
 from vitrine.ml.select import benchmark, cv_r2, leaderboard, prepare_training, tune, winner
 from vitrine.plans import oracle as O
 from vitrine.plans.catalog import register, round_doubles, table
+from vitrine.session import materialise
 
 SPLIT_SQL = ("CASE WHEN CAST(('0x' || substr(md5(concat_ws('|', '42', {k})), 1, 8)) AS BIGINT) % 100 < 80 "
              "THEN 'train' ELSE 'test' END")
@@ -224,6 +225,13 @@ def q_history(spark, sf_dir):
 
 # ---------------------------------------------------------------- MLlib jobs (rows-only checks)
 
+def _gold(spark, sf_dir):
+    from vitrine.plans import etl
+    from vitrine.plans.queries_listing import gold_df
+
+    return materialise(etl.finalize(gold_df(spark, sf_dir), stamp=False).drop("created_at"), "gold")
+
+
 def _prepared(spark, sf_dir):
     """Gold (finalised: internal columns dropped) -> prepared features, lineage cut by a checkpoint.
 
@@ -231,11 +239,7 @@ def _prepared(spark, sf_dir):
     (written under ``spark.checkpoint.dir``) keeps each job from re-planning
     and re-running the whole listing ETL, and survives executor loss.
     """
-    from vitrine.plans import etl
-    from vitrine.plans.queries_listing import gold_df
-
-    gold = etl.finalize(gold_df(spark, sf_dir), stamp=False).drop("created_at")
-    prepared, pre, cat, num = prepare_training(gold, ["url"])
+    prepared, pre, cat, num = prepare_training(_gold(spark, sf_dir), ["url"])
     return prepared.checkpoint(eager=True), pre, cat, num
 
 
@@ -276,12 +280,17 @@ def q_mllib_stacking(spark, sf_dir):
     return run_record(pred.select("split", F.col("price_try").alias("y"), "pred"))
 
 
-@register("score_requests", "X1 X2 X3 T20 T25 T27 S14")
+@register("score_requests", "X1 X2 X3 T20 T25 T27 S12 S13 S14 M24 C8")
 def q_score(spark, sf_dir):
-    prepared, pre, _, _ = _prepared(spark, sf_dir)
-    model = M.fit("LinearRegression", prepared.where("split = 'train'"))
-    valid = validate_requests(_requests(spark, sf_dir)).where("is_valid")
-    return score_requests(valid, pre, model, "LinearRegression (v1)")
+    """Benchmark, tune and register a champion, then load it by its alias and score the request table."""
+    from vitrine.ml.select import load_champion
+    from vitrine.plans.report import benchmark_tune_register
+    from vitrine.streaming.ingest import scratch_root
+
+    root = scratch_root(spark, "champion")
+    benchmark_tune_register(spark, _gold(spark, sf_dir), f"{root}/registry", f"{root}/models", ["url"], model_names=["Ridge", "Lasso"], trials=4)
+    champion, info = load_champion(spark, f"{root}/registry", "listing_price")
+    return score_requests(validate_requests(_requests(spark, sf_dir)).where("is_valid"), champion, info)
 
 
 @register("log_target_check", "A24", sql=(

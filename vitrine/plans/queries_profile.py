@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from vitrine.operators import profile as P
 from vitrine.operators.categories import distinct_sorted, keep_top_k, value_counts
-from vitrine.operators.dedup import duplicate_summary, flag_duplicates, keep_first
+from vitrine.operators.dedup import duplicate_summary, flag_duplicates, keep_first, text_digest
 from vitrine.operators.filters import keep_positive_share, positive
 from vitrine.operators.quantiles import exact_median
 from vitrine.plans.catalog import register, round_doubles, table
+from vitrine.sources.tables import DRIVER_TABLES
 
 LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -212,15 +213,15 @@ def q_options(spark, sf_dir):
     "SELECT doc_id, n_chars FROM (SELECT doc_id, n_chars, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn "
     "FROM documents) WHERE rn = 1"))
 def q_dedup_full(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("text", "doc_id", "n_chars")
-    return keep_first(d, ["text"], ["doc_id"]).select("doc_id", "n_chars")
+    d = table(spark, sf_dir, "documents").select(*text_digest("text"), "doc_id", "n_chars")
+    return keep_first(d, ["text_digest", "text_length"], ["doc_id"]).select("doc_id", "n_chars")
 
 
 @register("dup_flags", "W3", sql=(
     "SELECT doc_id, count(*) OVER (PARTITION BY text) > 1 AS is_dup FROM documents"))
 def q_dup_flags(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return flag_duplicates(d, ["text"]).select("doc_id", "is_dup")
+    d = table(spark, sf_dir, "documents").select("doc_id", *text_digest("text"))
+    return flag_duplicates(d, ["text_digest", "text_length"]).select("doc_id", "is_dup")
 
 
 @register("dup_summary", "A17", sql=(
@@ -228,7 +229,7 @@ def q_dup_flags(spark, sf_dir):
     "CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS rows_dropped, CAST(count(*) AS BIGINT) AS rows_remaining "
     "FROM (SELECT text, lang, source, count(*) AS n FROM documents GROUP BY text, lang, source)"))
 def q_dup_summary(spark, sf_dir):
-    return duplicate_summary(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+    return duplicate_summary(table(spark, sf_dir, "documents").select(*text_digest("text"), "lang", "source"))
 
 
 # ------------------------------------------------------------ sampling / head
@@ -245,7 +246,7 @@ def q_head(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand").orderBy("p_partkey").limit(10)
 
 
-_SHAPE_TABLES = ["part", "orders", "lineitem", "events", "documents", "pages"]
+_SHAPE_TABLES = DRIVER_TABLES
 
 
 @register("table_shapes", "A2", sql=" UNION ALL ".join(

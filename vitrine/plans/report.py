@@ -34,34 +34,42 @@ def modelling_cleanup(df: DataFrame, target: str) -> DataFrame:
     for c in nums:
         df = df.withColumn(c, F.coalesce(F.col(c).cast("double"), exact_median(df, c).select("median").scalar()))
     if cats:
-        df = P.fill_with(df, P.column_modes(df, cats).withColumnRenamed("mode", "fill"))
+        df = P.fill_with(df, P.column_modes(df, cats).withColumnRenamed("mode", "fill"), names=cats)
     return df
 
 
 def benchmark_tune_register(spark: SparkSession, gold: DataFrame, registry_path: str, model_dir: str,
-                            key_cols: list[str], name: str = "listing_price") -> dict:
+                            key_cols: list[str], name: str = "listing_price", model_names: list[str] | None = None,
+                            trials: int | None = None) -> dict:
     """Benchmark the configured models, tune the winner, refit on train, register as champion.
 
+    The stored pipeline predicts prices; its run record and the categorical options are stored with it.
     Quirk 10 kept: a winner without a search space (LinearRegression) registers nothing.
     """
     import json
 
     from pyspark.ml import PipelineModel
 
-    from vitrine.constants import SEARCH_SPACES
+    from vitrine.constants import BENCHMARK_MODELS, SEARCH_SPACES, TARGET_COL, TUNING_TRIALS
     from vitrine.ml import models as M
+    from vitrine.ml.evaluate import run_record
     from vitrine.ml.select import benchmark, prepare_training, register_champion, tune, winner
+    from vitrine.operators.categories import options_map
 
-    prepared, pre, _, _ = prepare_training(gold, key_cols)
+    prepared, pre, cat, _ = prepare_training(gold, key_cols)
     prepared = prepared.checkpoint(eager=True)
-    runs = benchmark(prepared)
+    runs = benchmark(prepared, model_names or BENCHMARK_MODELS)
     best = winner(runs).first()["winner"]
     result = {"runs": runs, "winner": best, "registered": None}
     if best not in SEARCH_SPACES:
         return result
-    trials = tune(prepared, best, order_cols=key_cols)
-    params = json.loads(trials.orderBy("score", "trial").first()["params"])
+    scores = tune(prepared, best, trials or TUNING_TRIALS, order_cols=key_cols)
+    params = json.loads(scores.orderBy("score", "trial").first()["params"])
     model = M.fit(best, prepared.where("split = 'train'"), params)
-    result["trials"] = trials
-    result["registered"] = register_champion(spark, PipelineModel([*pre.stages, model]), name, registry_path, model_dir)
+    predicted = M.predict_price(model, prepared).select("split", F.col(TARGET_COL).alias("y"), "pred")
+    result["trials"] = scores
+    result["registered"] = register_champion(
+        spark, PipelineModel([*pre.stages, model, M.in_currency()]), name, registry_path, model_dir,
+        metrics=run_record(predicted).select(F.lit(best).alias("model"), F.lit(json.dumps(params)).alias("params"), "*"),
+        options=options_map(gold, cat))
     return result

@@ -54,6 +54,9 @@ def read_bronze_csv(spark: SparkSession, path: str, columns: list[str] | None =
 
     Without ``escape='"'`` titles holding inch marks ('15.6""') shift columns.
     The header is read to build an all-string schema, never ``inferSchema``.
+
+    ``_seq`` is the order that keep-last relies on: the file's own ``_seq`` column if it has one, else the place of the
+    row in the file (a file of quoted line breaks is read whole by one task, so its rows are numbered in order).
     """
     if schema is None:
         if columns is None:
@@ -63,7 +66,9 @@ def read_bronze_csv(spark: SparkSession, path: str, columns: list[str] | None =
               .option("encoding", "UTF-8").schema(schema))
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.csv(path)
+    rows = reader.csv(path)
+    own = F.col("_seq").cast("long") if "_seq" in rows.columns else F.monotonically_increasing_id()
+    return rows.withColumn("_seq", own)
 
 
 def latest_snapshot(df: DataFrame, ts_col: str = "created_at", label: str = "") -> DataFrame:
