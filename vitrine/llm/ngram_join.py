@@ -296,6 +296,7 @@ def jaccard_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
     out = slim.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(
         component.select(F.col("node").alias("cls"), "component"), "cls", "left")
     out = scratch.write(out.withColumn("component", F.coalesce("component", "cls")), "placed")
+    scratch.keep("placed")
     least = out.where(F.col("component").isNotNull() & F.col("doc_id").isNotNull()).groupBy("component").agg(
         F.min("doc_id").alias("component_id"), F.max("doc_id").alias("last")).where("component_id < last").select("component", "component_id")
     return out.join(least, "component", "left").select(

@@ -45,6 +45,12 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Delete a written table that no later plan reads."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def keep(self, *names: str) -> None:
+        """Delete all written tables of this call but the named ones, which the returned result still reads."""
+        base = self.spark._jvm.org.apache.hadoop.fs.Path(self.base)
+        for entry in base.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(base):
+            if entry.getPath().getName() not in names:
+                self.drop(entry.getPath().getName())
