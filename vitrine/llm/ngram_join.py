@@ -30,7 +30,7 @@ from vitrine.llm.scratch import Scratch
 
 U64 = np.uint64
 #: Passes over the cells.
-PASSES = 4
+PASSES = 8
 #: Documents per block of a cell that is compared in tiles.
 BLOCK = 256
 
@@ -239,7 +239,8 @@ def jaccard_groups(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100
     shares = []
     for i in range(PASSES):
         signs = reps.select("cls", F.explode(F.filter("cells", lambda c: F.pmod(c, F.lit(PASSES)) == i)).alias("cell"))
-        cells = signs.groupBy("cell").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi")
+        # repeated rows of one document may count as several members here; they become one below, and one member is no pair
+        cells = signs.groupBy("cell").agg(F.count("*").alias("m")).where("m > 1")
         shares.append(scratch.write(signs.join(cells.select("cell"), "cell").distinct(), f"members-{i}"))
     members = reduce(DataFrame.unionByName, shares)
     # cells with the same members say the same: one of them stays
