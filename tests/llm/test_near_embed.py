@@ -57,6 +57,25 @@ def test_large_shard_is_tiled(frame):
     assert found(got) == brute(rows)
 
 
+def test_copies_keep_their_links(frame):
+    """Hundreds of equal vectors, and of vectors that differ in double precision only."""
+    rng = np.random.default_rng(8)
+    one, two = rng.normal(size=24), rng.normal(size=24)
+    rows = [one.tolist()] * 300 + (one + 0.02 * rng.normal(size=(20, 24))).tolist() + (two + 1e-10 * rng.normal(size=(300, 24))).tolist()
+    rows = [(i, e, None) for i, e in enumerate(rows + rng.normal(size=(100, 24)).tolist())]
+    rng.shuffle(rows)
+    rows = [(int(i), e, c) for i, e, c in rows]
+    got = N.near_duplicates(frame(rows, SCHEMA), shard_rows=400)
+    assert found(got) == brute(rows)
+
+
+def test_all_pairs_where_the_audit_fails(frame, monkeypatch):
+    monkeypatch.setattr(N, "LEAST_RECALL", 1.1)
+    rows = rows_of(200, 9) + [(900 + i, [1.0, 2.0], None) for i in range(30)]
+    got = N.near_duplicates(frame(rows, SCHEMA), shard_rows=60, max_rows=80)
+    assert found(got) == brute(rows) and got.recall == 1.0
+
+
 def test_empty(frame):
     assert N.near_duplicates(frame([], SCHEMA)).rows.count() == 0
     assert found(N.near_duplicates(frame([(3, [1.0, 0.0], None)], SCHEMA))) == [(3, 0, 3)]

@@ -1,10 +1,11 @@
 """Near-duplicate embeddings by a robust-pruned flat graph.
 
-Vectors are dealt to overlapping cluster shards.  Each shard builds a flat proximity graph by robust pruning; the
+Equal vectors are one weighted vector.  Vectors are dealt to overlapping cluster shards.  Each shard builds a flat proximity graph by robust pruning; the
 adjacency lists of a vector's shards are united.  Range-expanding greedy search from the shard's medoid then finds every
 vector's neighbours: a best-first beam first, afterwards every neighbour within range is expanded as well until no new
 one turns up.  Found pairs are verified by the cosine in double precision.  An audit compares the number of links of a
-bounded sample of vectors with brute force; if recall is too low, the overlap grows and the search runs again.
+bounded sample of vectors with brute force; if recall is too low, the overlap grows and the search runs again, and if it
+stays too low all pairs are compared in tiles.
 
 A shard above the row bound is covered by tiles: its rows are cut into blocks, and every pair of blocks is a shard of
 its own, so no group is ever held by one task and no pair of its rows is left out.
@@ -30,6 +31,8 @@ MAX_ROWS = 3000
 FIT_ROWS = 20_000
 #: Neighbours kept per vector, candidates they are pruned from, and the pruning factor.
 DEGREE = 20
+#: Most edges per vector that are added as reverses of kept ones.
+REVERSED = 10
 CANDIDATES = 64
 ALPHA = 1.2
 #: Width of the beam before the range expands.
@@ -82,7 +85,7 @@ def _nearest(centres: np.ndarray, overlap: int):
             x = _vectors(batch.column(1)).astype(np.float32)
             near = np.argsort(-(x @ centres.T), axis=1, kind="stable")[:, :m].astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * m), pa.array(near.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["vec_id", "u", "shards"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists], names=["vec_id", "u", "weight", "shards"])
 
     return run
 
@@ -189,11 +192,38 @@ def _list(table: pa.Table, name: str) -> pa.ListArray:
     return column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
 
 
+def joined_up(x: np.ndarray, graph: np.ndarray) -> np.ndarray:
+    """``graph`` with some reverse edges, and with trees over rows that are the same in single precision.
+
+    Pruning keeps one neighbour at distance zero and drops the others, so such rows would not reach each other.
+    """
+    n = len(x)
+    src, at = np.nonzero(graph >= 0)
+    dst = graph[src, at]
+    order = np.lexsort((at, dst))
+    src, dst = src[order], dst[order]
+    place = np.arange(len(dst)) - np.searchsorted(dst, dst)
+    back = np.full((n, REVERSED), -1, dtype=graph.dtype)
+    few = place < REVERSED
+    back[dst[few], place[few]] = src[few]
+    tree = np.full((n, 3), -1, dtype=graph.dtype)
+    _, kind = np.unique(x, axis=0, return_inverse=True)
+    order = np.argsort(kind.ravel(), kind="stable")
+    kind = kind.ravel()[order]
+    first = np.searchsorted(kind, kind)
+    place = np.arange(n) - first
+    up = np.flatnonzero(place > 0)
+    parent = first[up] + (place[up] - 1) // 2
+    tree[order[up], 2] = order[parent]
+    tree[order[parent], (place[up] - 1) % 2] = order[up]
+    return np.concatenate([graph, back, tree], axis=1)
+
+
 def _build(table: pa.Table) -> pa.Table:
     """Adjacency lists of one shard."""
     ids = table.column("vec_id").to_numpy()
     x = _vectors(_list(table, "u")).astype(np.float32)
-    graph = build_graph(x)
+    graph = joined_up(x, build_graph(x))
     full = graph >= 0
     counts = full.sum(axis=1)
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(ids[graph[full]]))
@@ -213,8 +243,11 @@ def _local_components(hit: np.ndarray) -> np.ndarray:
             return root
 
 
-def _find(threshold: float):
-    """Links of one shard: counts per vector (each pair counted in the first shard that holds both) and spanning links."""
+def _find(threshold: float, brute: bool = False):
+    """Links of one shard: counts per vector (each pair counted in the first shard that holds both) and spanning links.
+
+    ``brute`` compares all pairs of the shard instead of searching its graph.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("vec_id")
@@ -223,19 +256,23 @@ def _find(threshold: float):
         shard = table.column("shard")[0].as_py()
         exact = _vectors(_list(table, "u"))
         x = exact.astype(np.float32)
-        # the united lists' neighbours that are here
-        near = _list(table, "near")
-        sizes = np.diff(near.offsets.to_numpy())
-        flat = near.flatten().to_numpy(zero_copy_only=False)
-        at = np.searchsorted(ids, flat).clip(max=n - 1)
-        here = ids[at] == flat
-        row, at = np.repeat(np.arange(n), sizes)[here], at[here]
-        counts = np.bincount(row, minlength=n)
-        graph = np.full((n, max(1, int(counts.max(initial=1)))), -1, dtype=np.int64)
-        graph[row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)] = at
         hit = np.zeros((n, n), dtype=bool)
         edge = threshold - 1e-5
-        for lo, score in range_search(x, graph, edge):
+        if brute:
+            scores = ((lo, x[lo:lo + 256] @ x.T) for lo in range(0, n, 256))
+        else:
+            # the united lists' neighbours that are here
+            near = _list(table, "near")
+            sizes = np.diff(near.offsets.to_numpy())
+            flat = near.flatten().to_numpy(zero_copy_only=False)
+            at = np.searchsorted(ids, flat).clip(max=n - 1)
+            here = ids[at] == flat
+            row, at = np.repeat(np.arange(n), sizes)[here], at[here]
+            counts = np.bincount(row, minlength=n)
+            graph = np.full((n, max(1, int(counts.max(initial=1)))), -1, dtype=np.int64)
+            graph[row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)] = at
+            scores = range_search(x, graph, edge)
+        for lo, score in scores:
             a, b = np.nonzero(score >= edge)
             for k in range(0, len(a), 50_000):
                 i, j = a[k:k + 50_000] + lo, b[k:k + 50_000]
@@ -244,6 +281,7 @@ def _find(threshold: float):
         hit |= hit.T
         np.fill_diagonal(hit, False)
         homes = _vectors(_list(table, "homes"))
+        weight = table.column("weight").to_numpy()
         links = np.zeros(n, dtype=np.int64)
         for lo in range(0, n, 256):
             a, b = np.nonzero(hit[lo:lo + 256])
@@ -253,7 +291,7 @@ def _find(threshold: float):
                 own = homes[a, i]
                 shared = (own[:, None] == homes[b]).any(axis=1) & (own >= 0)
                 first = np.where(shared, np.minimum(first, own), first)
-            links += np.bincount(a[first == shard], minlength=n)
+            links += np.bincount(a[first == shard], weights=weight[b[first == shard]], minlength=n).astype(np.int64)
         return pa.table({"vec_id": pa.array(ids), "links": pa.array(links), "root": pa.array(ids[_local_components(hit)])})
 
     return run
@@ -286,7 +324,7 @@ def _audit(scratch: Scratch, units: DataFrame, links: DataFrame, threshold: floa
                 part = batch.filter(pa.array(sizes == dims))
                 own, probe = probes[dims]
                 hit = (probe @ _vectors(part.column(1)).T >= threshold) & (own[:, None] != part.column(0).to_numpy())
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(hit.sum(axis=1).astype(np.int64))], names=["vec_id", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(hit @ part.column(2).to_numpy())], names=["vec_id", "n"])
 
     true = units.mapInArrow(count, "vec_id long, n long").groupBy("vec_id").agg(F.sum("n").alias("n"))
     got = true.join(links, "vec_id", "left").agg(F.sum(F.least("n", F.coalesce("links", F.lit(0)))).alias("found"), F.sum("n").alias("all")).first()
@@ -306,6 +344,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     scratch = Scratch(spark, "embed")
     units = unit_vectors(vectors, id_col, vector_col).groupBy("vec_id").agg(F.min("u").alias("u"))
     units = scratch.write(units, "units")
+    # equal vectors are one, the least id, with their number as weight (at a threshold of one, rounding decides)
+    alike = units.select("vec_id", F.xxhash64(F.lit("a"), "u").alias("h"), F.xxhash64(F.lit("b"), "u").alias("k"))
+    classes = alike.groupBy("h", "k").agg(F.min("vec_id").alias("of"), F.count("*").alias("weight")).where("weight > 1")
+    copies = scratch.sent(alike.join(classes, ["h", "k"]).select("vec_id", "of", "weight").where(F.lit(threshold < 1 - 1e-9)), "copies")
+    units = units.join(copies.where("vec_id != of").select("vec_id"), "vec_id", "left_anti").join(
+        copies.where("vec_id = of").select("vec_id", "weight"), "vec_id", "left")
+    units = scratch.write(units.select("vec_id", "u", F.coalesce("weight", F.lit(1)).cast("long").alias("weight")), "distinct")
+    scratch.drop("units")
     sizes = {r["dims"]: r["count"] for r in units.groupBy(F.size("u").alias("dims")).count().collect()}
     centres: dict[int, np.ndarray] = {}
     for dims, n in sizes.items():
@@ -324,22 +370,28 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
             break
         overlap *= 2
     found, links, overlap = best
+    if recall < LEAST_RECALL:
+        # one shard for all vectors of a length, whose pairs of blocks are compared in full
+        whole = {dims: np.zeros((1, dims), dtype=np.float32) for dims in sizes}
+        found, recall = _search(scratch, units, whole, threshold, max_rows, 1, "all", brute=True), 1.0
+        links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     edges = found.where(F.col("vec_id") != F.col("root")).select(F.col("vec_id").alias("a"), F.col("root").alias("b"))
     component = connected_components(scratch, edges, "a", "b")
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"))
-    rows = rows.join(links, "vec_id", "left").join(component.withColumnRenamed("node", "vec_id"), "vec_id", "left")
-    out = rows.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-                      F.coalesce("component", "vec_id").alias("component_id"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id")).join(copies, "vec_id", "left")
+    rows = rows.withColumn("of", F.coalesce("of", "vec_id"))
+    rows = rows.join(links.withColumnRenamed("vec_id", "of"), "of", "left").join(component.withColumnRenamed("node", "of"), "of", "left")
+    n_links = F.coalesce("links", F.lit(0)) + F.coalesce("weight", F.lit(1)) - 1
+    out = rows.select("vec_id", n_links.cast("long").alias("n_links"), F.coalesce("component", "of").alias("component_id"))
     return Links(out.withColumn("kept", F.col("vec_id") == F.col("component_id")), recall, overlap)
 
 
 def _search(scratch: Scratch, units: DataFrame, centres: dict[int, np.ndarray], threshold: float, max_rows: int,
-            overlap: int, tag: str) -> DataFrame:
+            overlap: int, tag: str, brute: bool = False) -> DataFrame:
     """(vec_id, links, root) per vector and shard."""
     found = None
     for dims, c in sorted(centres.items()):
         own = units.where(F.size("u") == dims) if len(centres) > 1 else units
-        dealt = scratch.write(own.mapInArrow(_nearest(c, overlap), "vec_id long, u array<double>, shards array<int>"), f"dealt-{tag}-{dims}")
+        dealt = scratch.write(own.mapInArrow(_nearest(c, overlap), "vec_id long, u array<double>, weight long, shards array<int>"), f"dealt-{tag}-{dims}")
         counts = dealt.select(F.explode("shards").alias("s")).groupBy("s").count()
         # shards above the bound are cut into blocks of half a bound; every pair of blocks makes a shard
         large = {r["s"]: -(-2 * r["count"] // max_rows) for r in counts.where(F.col("count") > max_rows).collect()}
@@ -357,11 +409,14 @@ def _search(scratch: Scratch, units: DataFrame, centres: dict[int, np.ndarray],
         homed = homed.withColumn("homes", F.concat("homes", F.transform(
             F.sequence(F.lit(1), F.lit(width + 1)), lambda i: -(F.col("vec_id") * 0 + i).cast("long"))))
         homed = homed.withColumn("homes", F.slice("homes", 1, width))
-        members = homed.select("vec_id", "u", "homes", F.explode(F.filter("homes", lambda h: h >= 0)).alias("shard"))
-        edges = members.select("shard", "vec_id", "u").groupBy("shard").applyInArrow(_build, "vec_id long, near array<long>")
-        near = edges.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-        near = scratch.write(near, f"near-{tag}-{dims}")
-        hits = members.join(near, "vec_id").groupBy("shard").applyInArrow(_find(threshold), "vec_id long, links long, root long")
+        members = homed.select("vec_id", "u", "weight", "homes", F.explode(F.filter("homes", lambda h: h >= 0)).alias("shard"))
+        held = members
+        if not brute:
+            edges = members.select("shard", "vec_id", "u").groupBy("shard").applyInArrow(_build, "vec_id long, near array<long>")
+            near = edges.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+            near = scratch.write(near, f"near-{tag}-{dims}")
+            held = members.join(near, "vec_id")
+        hits = held.groupBy("shard").applyInArrow(_find(threshold, brute), "vec_id long, links long, root long")
         hits = scratch.write(hits, f"hits-{tag}-{dims}")
         found = hits if found is None else found.unionByName(hits)
     return found if found is not None else units.sparkSession.createDataFrame([], "vec_id long, links long, root long")
