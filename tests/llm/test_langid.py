@@ -42,3 +42,17 @@ def test_nothing_to_learn(frame):
 def test_features_count_the_whole_text():
     block = next(langid.features(pa.array(["ab cd ab"])))
     assert block[0, :langid.BUCKETS].sum() == 3 and block[0, langid.BUCKETS:].sum() == 6
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables not present")
+def test_pipeline_rejects_other_texts(spark, frame):
+    import corpus_pipeline as P
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    odd = ["qzxv wkjb pfqz xvvk zzqj " * 12, "U3BhcmsgaXMgYSBkaXN0cmlidXRlZA" * 20,
+           "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+           "Все люди рождаются свободными и равными в своем достоинстве и правах.", "for (int i = 0; i < n; ++i) { x[i] = y[i] * z[j]; }"]
+    extra = frame([(10**9 + i, t, None) for i, t in enumerate(odd)], "doc_id long, text string, lang string")
+    kept = P.language_id(spark, docs.unionByName(extra, allowMissingColumns=True), sf)
+    assert kept.where("doc_id >= 1000000000").count() == 0 and kept.count() >= 0.975 * docs.count()
