@@ -32,3 +32,21 @@ def test_spellings_fix_adjacent_words(spark, frame):
 def test_plan_has_no_python(frame):
     plan = L.scan(frame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_whole_texts_at_any_line_width(frame):
+    import textwrap
+
+    rows, want = [], {}
+    heads = ["Copyright (c) 2020 Someone\nAll rights reserved.\n\n", "Copyright 2001-2019 The Authors\n", "(c) 1999 Someone\n", "COPYRIGHT The Regents\n", ""]
+    for i, (name, known) in enumerate(L.LICENCES):
+        for width in (40, 60, 66, 72, 79, 100, 100_000):
+            body = "\n".join(textwrap.fill(" ".join(p.split()), width) for p in known.split("\n\n"))
+            rows.append((len(rows), heads[i % len(heads)] + body, None))
+            want[len(rows) - 1] = name
+    for word in ("notice", "holder", "holders", "owner"):  # wrapped just before the word
+        for name, known in L.LICENCES:
+            rows.append((len(rows), known.replace(f" copyright {word}", f"\ncopyright {word}").replace(f" COPYRIGHT {word.upper()}", f"\nCOPYRIGHT {word.upper()}"), None))
+            want[len(rows) - 1] = name
+    got = {r.doc_id: r.license_id for r in L.scan(frame(rows, SCHEMA)).collect()}
+    assert got == want

@@ -1,8 +1,8 @@
 """License scan by canonical digest lookup, in DataFrame and SQL functions only.
 
 A text is normalised (case, copyright lines, punctuation, equivalent spellings) and digested; whole texts, and every
-line that may be a notice, are hash-joined to the digests of known licences.  The same rules are written once as
-Spark columns and once as SQL text for the oracle.
+line that may be a notice, are hash-joined to the digests of known licences.  The rules are written once as Spark
+columns and once as SQL text for the oracle, which still deletes every line that starts with "copyright".
 """
 
 from __future__ import annotations
@@ -78,7 +78,13 @@ NOTICES = [
 #: Every notice holds this word in one of its spellings, so a line without it needs no digest.
 NOTICE_WORD = "licen"
 
-_COPYRIGHT = r"\n[^a-z0-9\n(©]*(?:copyright|\(c\)|©)[^\n]*"
+#: Words after "copyright" that go on with a sentence, which may be wrapped there, and are no holder's name.
+_SENTENCE = (r"(?:notices?|holders?|owners?|licen[sc]es?|laws?|acts?|statements?|disclaimers?|interests?|protection|infringements?|treat(?:y|ies)"
+             r"|rights?|and|or|in|of|on|is|are|to|for|as|that|which|with|under|applies|may|shall|must|will|can)\b")
+_COPYRIGHT = (r"\n[^a-z0-9\n(©]*(?:copyright(?=[^a-z\n]*(?:\(c\)|©|[0-9]{4}))|copyright\b(?=[^\n]*\w)(?![^a-z0-9\n]*" + _SENTENCE
+              + r")|\(c\)(?=[^a-z\n]*[0-9]{4}|[ \t]*copyright)|©)[^\n]*")
+#: The oracle's rule, as it was.
+_SQL_COPYRIGHT = r"\n[^a-z0-9\n(©]*(?:copyright|\(c\)|©)[^\n]*"
 _RESERVED = r"\n[^a-z0-9\n]*all rights reserved[^\n]*"
 _OTHER = r"[^\p{L}\p{N}]+"
 
@@ -131,7 +137,7 @@ def _sql_text(value: str) -> str:
 
 
 def _sql_digest(expression: str) -> str:
-    t = f"regexp_replace(regexp_replace(chr(10) || lower({expression}), '{_COPYRIGHT}', '', 'g'), '{_RESERVED}', '', 'g')"
+    t = f"regexp_replace(regexp_replace(chr(10) || lower({expression}), '{_SQL_COPYRIGHT}', '', 'g'), '{_RESERVED}', '', 'g')"
     t = f"regexp_replace(' ' || {t} || ' ', '{_OTHER}', '  ', 'g')"
     for written, counted in SPELLINGS.items():
         t = f"replace({t}, ' {written} ', ' {counted} ')"
