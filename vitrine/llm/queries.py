@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import bpe, html_main, langid, licence, mixing, near_embed, ngram_join, packing, substring, token_counts, topk
+from vitrine.llm import bpe, html_main, langid, licence, mixing, near_embed, ngram_join, packing, periodic, substring, token_counts, topk
 
 #: Weights of the domains in the mix: more good text, less of the rest.
 MIX_TARGETS = {"high": 0.9, "low": 0.09, "toxic": 0.01}
@@ -92,6 +92,31 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.aggregate("leaf_chars", F.lit(0).cast("long"), lambda a, c: a + c).alias("n_chars_after"), "encoded_chars")
 
 
+def with_repetitions(doc_id: Column, text: Column) -> Column:
+    """The text, for a tenth of the ids with its words from some place on replaced by repetitions of the first of them."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    own = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n = F.size(own)
+    a = (g % n).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+    again = F.slice(F.flatten(F.array_repeat(F.slice(own, a + 1, p), F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.concat(F.slice(own, F.lit(1), a), again), " ")).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = periodic.periodic_runs(docs.select("doc_id", with_repetitions(F.col("doc_id"), F.col("text")).alias("text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    found = found.select("doc_id", "runs", "collapsed", best.alias("best"), listed.alias("listed"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.p")).alias("period"), F.floor(1000 * F.col("best.length") / -F.col("best.p")).alias("exponent_milli"),
+        F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -101,7 +126,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_language_id, op3_exact_top_k, op4_html_extraction, op5_mixing, op6_embedding_near_dedup,
-        op7_substring_dedup, op8_ngram_jaccard_join, op9_license_scan, op10_token_counts, pipeline)}
+        op7_substring_dedup, op8_ngram_jaccard_join, op9_license_scan, op10_token_counts, op12_periodic_runs, pipeline)}
 
 TOP_K_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings

@@ -79,12 +79,11 @@ def _hash_ranges(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> n
     return h
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, start bytes, end bytes, word offsets per text) of consecutive texts."""
-    n = len(data)
-    if n == 0:
+def word_edges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start bytes, end bytes) of the words of consecutive texts."""
+    if len(data) == 0:
         empty = np.zeros(0, dtype=np.int64)
-        return np.zeros(0, dtype=U64), empty, empty, np.zeros(len(offsets), dtype=np.int64)
+        return empty, empty
     inside = ~_SEPARATOR[data]
     begin = inside.copy()
     begin[1:] &= ~inside[:-1]
@@ -94,11 +93,21 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     first_byte, last_byte = offsets[:-1][full], offsets[1:][full] - 1
     begin[first_byte] = inside[first_byte]
     last[last_byte] = inside[last_byte]
-    starts = np.flatnonzero(begin)
-    ends = np.flatnonzero(last) + 1
+    return np.flatnonzero(begin), np.flatnonzero(last) + 1
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, start bytes, end bytes, word offsets per text) of consecutive texts."""
+    starts, ends = word_edges(data, offsets)
     return _hash_ranges(_LOWER[data], starts, ends - starts), starts, ends, np.searchsorted(starts, offsets)
 
 
+def exact_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, word offsets per text) of consecutive texts, where A-Z count as they are."""
+    starts, ends = word_edges(data, offsets)
+    return _hash_ranges(data, starts, ends - starts), np.searchsorted(starts, offsets)
+
+
 def shingle_hashes(hashes: np.ndarray, word_offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashes of all runs of ``size`` words inside one text, index of their first word, offsets per text)."""
     counts = np.maximum(np.diff(word_offsets) - size + 1, 0)
