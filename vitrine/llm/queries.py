@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import bpe, html_main, langid, licence, mixing, near_embed, ngram_join, packing, periodic, substring, token_counts, topk
+from vitrine.llm import bpe, hard_negatives, html_main, langid, licence, mixing, near_embed, ngram_join, packing, periodic, substring, token_counts, topk
 
 #: Weights of the domains in the mix: more good text, less of the rest.
 MIX_TARGETS = {"high": 0.9, "low": 0.09, "toxic": 0.01}
@@ -117,6 +117,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("listed").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -126,7 +132,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_language_id, op3_exact_top_k, op4_html_extraction, op5_mixing, op6_embedding_near_dedup,
-        op7_substring_dedup, op8_ngram_jaccard_join, op9_license_scan, op10_token_counts, op12_periodic_runs, pipeline)}
+        op7_substring_dedup, op8_ngram_jaccard_join, op9_license_scan, op10_token_counts, op12_periodic_runs,
+        op13_hard_negatives, pipeline)}
 
 TOP_K_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
@@ -137,6 +144,22 @@ scored AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(l
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
+NEGATIVES_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+positives AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+negatives AS (SELECT p.anchor_id, p.positive_id, s.other AS negative_id, p.positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 100 * s.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10"""
+
 NEAR_EMBED_SQL = """
 WITH RECURSIVE u AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -168,4 +191,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_embedding_near_dedup": NEAR_EMBED_SQL,
     "op8_ngram_jaccard_join": JACCARD_SQL,
     "op9_license_scan": licence.scan_sql(),
+    "op13_hard_negatives": NEGATIVES_SQL,
 }
