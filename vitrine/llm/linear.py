@@ -29,6 +29,13 @@ def fit_svm(x: np.ndarray, y: np.ndarray, l2: float = 1e-4, steps: int = 150) ->
     return _descend(x, lambda m: -2 * weight * y * np.maximum(0, 1 - y * m), np.zeros(x.shape[1], x.dtype), l2, 2 * float(weight.max()), steps)
 
 
+def fit_weighted_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float = 1e-4, steps: int = 400) -> np.ndarray:
+    """Weights of a linear SVM with squared hinge loss; every row counts by its weight (1 on the average)."""
+    some = weight > 0
+    y, root = y[some].astype(x.dtype), np.sqrt(weight[some]).astype(x.dtype)
+    return _descend(x[some] * root[:, None], lambda m: -2 * root * y * np.maximum(0, 1 - y * m / root), np.zeros(x.shape[1], x.dtype), l2, 2.0, steps)
+
+
 def fit_softmax(x: np.ndarray, y: np.ndarray, classes: int, l2: float = 1e-4, steps: int = 200) -> np.ndarray:
     """(features, classes) weights of softmax regression; y holds class numbers."""
     target = np.eye(classes, dtype=x.dtype)[y]

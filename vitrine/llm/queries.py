@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import bpe, hard_negatives, html_main, langid, licence, mixing, near_embed, ngram_join, packing, periodic, substring, token_counts, topk
+from vitrine.llm import bpe, hard_negatives, html_main, langid, licence, mixing, near_embed, ngram_join, packing, periodic, substring, token_counts, topk, toxicity
 
 #: Weights of the domains in the mix: more good text, less of the rest.
 MIX_TARGETS = {"high": 0.9, "low": 0.09, "toxic": 0.01}
@@ -92,6 +92,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.aggregate("leaf_chars", F.lit(0).cast("long"), lambda a, c: a + c).alias("n_chars_after"), "encoded_chars")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rest = lambda i: F.crc32(i.cast("string").cast("binary")) % 5
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels").where(rest(F.col("doc_id")) != 0))
+    found = toxicity.score(docs, model, columns=["doc_id"])
+    return found.select("doc_id", F.coalesce(rest(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def with_repetitions(doc_id: Column, text: Column) -> Column:
     """The text, for a tenth of the ids with its words from some place on replaced by repetitions of the first of them."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
@@ -132,8 +141,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_best_fit_packing, op2_language_id, op3_exact_top_k, op4_html_extraction, op5_mixing, op6_embedding_near_dedup,
-        op7_substring_dedup, op8_ngram_jaccard_join, op9_license_scan, op10_token_counts, op12_periodic_runs,
-        op13_hard_negatives, pipeline)}
+        op7_substring_dedup, op8_ngram_jaccard_join, op9_license_scan, op10_token_counts, op11_toxicity,
+        op12_periodic_runs, op13_hard_negatives, pipeline)}
 
 TOP_K_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings

@@ -79,6 +79,16 @@ def _hash_ranges(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> n
     return h
 
 
+def separators(data: np.ndarray) -> np.ndarray:
+    """Which bytes are space or 0x09-0x0D."""
+    return _SEPARATOR[data]
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of bytes, which count as they are."""
+    return _hash_ranges(data, starts, lengths)
+
+
 def word_edges(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(start bytes, end bytes) of the words of consecutive texts."""
     if len(data) == 0:
@@ -105,7 +115,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def exact_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, word offsets per text) of consecutive texts, where A-Z count as they are."""
     starts, ends = word_edges(data, offsets)
-    return _hash_ranges(data, starts, ends - starts), np.searchsorted(starts, offsets)
+    return range_hashes(data, starts, ends - starts), np.searchsorted(starts, offsets)
 
 
 def shingle_hashes(hashes: np.ndarray, word_offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
