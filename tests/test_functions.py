@@ -1,7 +1,7 @@
 """Table-driven cases for every standardiser and extractor, including the kept quirks."""
 
 import pytest
-from conftest import evaluate
+from column_eval import evaluate
 
 from vitrine.functions import categorical as cat
 from vitrine.functions import numeric as num

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from vitrine.ml import models as M
 from vitrine.ml.prepare import fit_preprocessor
+from vitrine.ml.registry import Registry
 from vitrine.ml.select import load_champion, register_champion
 from vitrine.plans import etl
 from vitrine.plans.queries_listing import bronze
@@ -117,7 +118,7 @@ def test_champion_is_stored_with_metrics_and_options(spark, tmp_path):
     assert "brand" in options and options["brand"] == sorted(options["brand"])
     # the winner without a search space registers nothing
     none = benchmark_tune_register(spark, gold, reg, models, ["url"], model_names=["LinearRegression"])
-    assert none["registered"] is None and spark.read.parquet(reg).count() == 1
+    assert none["registered"] is None and Registry(spark, reg).versions("listing_price").count() == 1
 
 
 def test_metrics_match_sql_over_written_predictions(spark, tmp_path):

@@ -35,10 +35,10 @@ def run_record(pred: DataFrame, y: str = "y", p: str = "pred", split: str = "spl
 
 
 def currency_mae(pred: DataFrame, y_log: str = "y_log", p_log: str = "pred_log", split: str = "split") -> DataFrame:
-    """MAE in log units and in currency (after ``exp``), per split."""
+    """MAE in log units and in currency (the inverse of ``log1p``), per split."""
     return pred.groupBy(split).agg(
         F.avg(F.abs(F.col(y_log) - F.col(p_log))).alias("mae_log"),
-        F.avg(F.abs(F.exp(y_log) - F.exp(p_log))).alias("mae_currency"))
+        F.avg(F.abs(F.expm1(y_log) - F.expm1(p_log))).alias("mae_currency"))
 
 
 def log_target_is_used(df: DataFrame, y: str) -> DataFrame:

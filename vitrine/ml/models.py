@@ -8,6 +8,8 @@ map to the distributed tree learners with the same headline settings.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.ml import Model
@@ -29,6 +31,11 @@ MAX_TREE_DEPTH = 30
 DEFAULT_TREE_DEPTH = 15
 
 
+def _least_rows(params: dict) -> int:
+    """Least rows of a child node for a least number of rows that a node needs to be split (MLlib bounds the children)."""
+    return max(1, int(params.get("min_samples_split", 2)) // 2)
+
+
 def make_estimator(name: str, params: dict | None = None, y_stats: tuple[int, float] | None = None,
                    features: str = "features", label: str = LABEL, seed: int = 42):
     """Estimator for a model name of the benchmark/tuning config."""
@@ -52,7 +59,7 @@ def make_estimator(name: str, params: dict | None = None, y_stats: tuple[int, fl
         depth = p.get("max_depth") or DEFAULT_TREE_DEPTH
         return RandomForestRegressor(
             numTrees=int(p.get("n_estimators", 100)), maxDepth=int(min(depth, MAX_TREE_DEPTH)),
-            minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
+            minInstancesPerNode=_least_rows(p),
             subsamplingRate=float(p.get("max_samples", 1.0)),
             # ExtraTrees has no MLlib learner: un-bootstrapped trees draw a random
             # feature subset per node instead of random thresholds (identical
@@ -64,8 +71,13 @@ def make_estimator(name: str, params: dict | None = None, y_stats: tuple[int, fl
     if name in ("GradientBoosting", "XGBoost", "LightGBM"):
         defaults = {"GradientBoosting": (100, 0.1, 3, 1.0), "XGBoost": (100, 0.3, 6, 1.0), "LightGBM": (100, 0.1, 5, 1.0)}[name]
         n_est, lr, depth, sub = defaults
+        if "num_leaves" in p:
+            # a tree of n leaves is at least this deep; MLlib bounds depth, not leaves
+            depth = math.ceil(math.log2(max(2, int(p["num_leaves"]))))
+        share = p.get("feature_fraction", p.get("colsample_bytree"))
         return GBTRegressor(maxIter=int(p.get("n_estimators", n_est)), stepSize=float(p.get("learning_rate", lr)),
-                            maxDepth=int(p.get("max_depth", depth)), subsamplingRate=float(p.get("subsample", sub)),
+                            maxDepth=int(min(p.get("max_depth", depth), MAX_TREE_DEPTH)), subsamplingRate=float(p.get("subsample", sub)),
+                            minInstancesPerNode=_least_rows(p), featureSubsetStrategy="all" if share is None else str(float(share)),
                             seed=seed, **common)
     raise ValueError(f"unknown model {name}")
 

@@ -7,9 +7,7 @@ tables (one row per run / version).
 
 from __future__ import annotations
 
-import json
 import math
-import random
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
@@ -20,6 +18,8 @@ from vitrine.constants import BENCHMARK_MODELS, SEARCH_SPACES, TARGET_COL, TUNIN
 from vitrine.ml import models as M
 from vitrine.ml.evaluate import metrics_by_split, run_record
 from vitrine.ml.prepare import contiguous_folds, fit_preprocessor, hash_split, prune
+from vitrine.ml.registry import Registry
+from vitrine.ml.search import search
 from vitrine.sources.sinks import append_metrics, write_options_json
 
 # Independent fits (models, trials, folds) are submitted as concurrent Spark
@@ -79,45 +79,49 @@ def leaderboard(runs: DataFrame, by: str = "test_rmse", ascending: bool = True)
     return runs.withColumn("rank", F.rank().over(Window.orderBy(o, F.col("ord")))).orderBy("rank")
 
 
-def sample_params(model_name: str, trials: int = TUNING_TRIALS, seed: int = 42) -> list[dict]:
-    """Seeded random search over the configured space (log scale for 'log' ranges)."""
-    rng = random.Random(seed)
-    space = SEARCH_SPACES[model_name]
-    out = []
-    for _ in range(trials):
-        p = {}
-        for k, (lo, hi, kind) in space.items():
-            if kind == "int":
-                p[k] = rng.randint(int(lo), int(hi))
-            elif kind == "log":
-                p[k] = math.exp(rng.uniform(math.log(lo), math.log(hi)))
-            else:
-                p[k] = rng.uniform(lo, hi)
-        out.append(p)
-    return out
+#: Metrics of a test split that models are ranked by, and whether more is better.
+BOARDS = {"test_r2": True, "test_mae_log": False, "test_mae": False, "test_rmse": False}
+
+
+def leaderboards(metrics: DataFrame, order: list[str]) -> DataFrame:
+    """(board, rank, model, metric, train_rmse, overfit_gap) for every board; ties by listing order.
+
+    ``metrics`` has a row per model and split with rmse, mae, r2 and mae_log; the models are few.
+    """
+    pick = lambda name, s: F.max(F.when(F.col("split") == s, F.col(name)))
+    runs = metrics.groupBy("model").agg(*[pick(m, "test").alias(f"test_{m}") for m in ("rmse", "mae", "r2", "mae_log")],
+                                        pick("rmse", "train").alias("train_rmse"))
+    place = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("model"))
+    boards = F.array(*[F.struct(F.lit(b).alias("board"), F.col(b).alias("metric"), (-F.col(b) if up else F.col(b)).alias("by")) for b, up in BOARDS.items()])
+    rows = runs.select("model", "train_rmse", (F.col("test_rmse") - F.col("train_rmse")).alias("overfit_gap"), place.alias("ord"), F.explode(boards).alias("b"))
+    rank = F.row_number().over(Window.partitionBy("b.board").orderBy("b.by", "ord"))
+    return rows.select("b.board", rank.alias("rank"), "model", "b.metric", "train_rmse", "overfit_gap")
 
 
 def tune(prepared: DataFrame, model_name: str, trials: int = TUNING_TRIALS, folds: int = TUNING_FOLDS,
          order_cols: list[str] | None = None, target: str = TARGET_COL, seed: int = 42) -> DataFrame:
-    """Each trial is scored by sqrt(mean fold MSE) in currency units over unshuffled K folds.
+    """Parzen search; each trial is scored by sqrt(mean fold MSE) in currency units over unshuffled K folds.
 
-    Like the original, folds cover all prepared rows (quirk 11).  Returns
-    one row per trial: trial, params (JSON), score; the smallest score wins.
+    Like the original, folds cover all prepared rows (quirk 11).  The fits of a round (trials times folds) run as
+    concurrent jobs.  Returns one row per trial: trial, params (JSON), score; the smallest score wins.
     """
     spark = prepared.sparkSession
     data = contiguous_folds(prepared, order_cols or [prepared.columns[0]], folds, "_fold").checkpoint(eager=True)
 
-    def trial(item):
-        t, params = item
-        sq = []
-        for f in range(folds):
-            m = M.fit(model_name, data.where(F.col("_fold") != f), params)
-            pred = M.predict_price(m, data.where(F.col("_fold") == f))
-            sq.append(pred.agg(F.avg((F.col(target) - F.col("pred")) ** 2)).first()[0])
-        return (t, json.dumps(params, sort_keys=True), math.sqrt(sum(sq) / len(sq)))
+    def fold_error(item):
+        params, f = item
+        m = M.fit(model_name, data.where(F.col("_fold") != f), params)
+        return M.predict_price(m, data.where(F.col("_fold") == f)).agg(F.avg((F.col(target) - F.col("pred")) ** 2)).first()[0]
 
-    rows = _parallel(trial, list(enumerate(sample_params(model_name, trials, seed))))
-    return spark.createDataFrame(rows, "trial INT, params STRING, score DOUBLE")
+    def evaluate(asked: list[dict]) -> list[float]:
+        errors = _parallel(fold_error, [(p, f) for p in asked for f in range(folds)])
+        return [math.sqrt(sum(errors[i * folds:(i + 1) * folds]) / folds) for i in range(len(asked))]
+
+    space = SEARCH_SPACES[model_name]
+    table = search(spark, space, evaluate, trials, seed=seed)
+    whole = [k for k in space if space[k][2] == "int"]
+    params = F.to_json(F.struct(*[F.col(k).cast("int").alias(k) if k in whole else F.col(k) for k in sorted(space)]))
+    return table.select("trial", params.alias("params"), "score")
 
 
 def cv_r2(prepared: DataFrame, model_name: str = "LinearRegression", folds: int = 5, order_cols: list[str] | None = None,
@@ -138,39 +142,23 @@ def cv_r2(prepared: DataFrame, model_name: str = "LinearRegression", folds: int
                                                                       F.count(F.lit(1)).alias("folds"))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists in whatever store it names; other errors are not taken for absence."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def register_champion(spark: SparkSession, pipeline: PipelineModel, name: str, registry_path: str, model_dir: str,
                       alias: str = "champion", metrics: DataFrame | None = None, options: DataFrame | None = None) -> DataFrame:
-    """Save the pipeline under a new version and move the alias to it (append-only registry).
+    """Store the pipeline under a version of its own and move the alias to it.
 
     ``metrics`` (one run record) goes to the ``model_runs`` table beside the models, ``options`` (one row) beside the
-    version.
+    version; both before the alias names it.
     """
-    import os
-
-    version = 1
-    if path_exists(spark, registry_path):
-        reg = spark.read.parquet(registry_path)
-        version = (reg.where(F.col("name") == name).agg(F.max("version")).first()[0] or 0) + 1
-    path = os.path.join(model_dir, f"{name}_v{version}")
-    # a version is written once: saving over an existing one fails
-    pipeline.write().save(path)
-    if options is not None:
-        write_options_json(options, f"{path}_options")
-    if metrics is not None:
-        append_metrics(metrics.select(F.lit(name).alias("name"), F.lit(version).alias("version"), "*"), os.path.join(model_dir, "model_runs"))
-    row = spark.createDataFrame([(name, version, alias, path)], "name STRING, version INT, alias STRING, path STRING")
-    row.withColumn("registered_at", F.current_timestamp()).write.mode("append").parquet(registry_path)
-    return row
+    def extra(version: int, path: str) -> None:
+        if options is not None:
+            write_options_json(options, f"{path}_options")
+        if metrics is not None:
+            append_metrics(metrics.select(F.lit(name).alias("name"), F.lit(version).alias("version"), "*"), f"{model_dir.rstrip('/')}/model_runs")
+
+    version, path = Registry(spark, registry_path).register(name, pipeline, model_dir, alias, extra)
+    return spark.createDataFrame([(name, version, alias, path)], "name STRING, version INT, alias STRING, path STRING")
 
 
 def load_champion(spark: SparkSession, registry_path: str, name: str, alias: str = "champion") -> tuple[PipelineModel, str]:
-    """The latest version carrying the alias, loaded; returns (model, 'name (vN)')."""
-    reg = spark.read.parquet(registry_path).where((F.col("name") == name) & (F.col("alias") == alias))
-    r = reg.orderBy(F.col("version").desc()).first()
-    return PipelineModel.load(r["path"]), f"{r['name']} (v{r['version']})"
+    """The version that carries the alias, loaded; returns (model, 'name (vN)')."""
+    return Registry(spark, registry_path).load(name, alias)

@@ -46,6 +46,6 @@ def round_doubles(df: DataFrame, digits: int = 4) -> DataFrame:
 def load_all() -> dict[str, Entry]:
     # Importing the modules registers their queries.
     from vitrine.plans import (  # noqa: F401
-        queries_listing, queries_profile, queries_html, queries_ml, queries_misc, queries_pages,
+        queries_listing, queries_profile, queries_html, queries_ml, queries_misc, queries_models, queries_pages,
     )
     return REGISTRY

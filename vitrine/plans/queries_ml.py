@@ -14,7 +14,7 @@ from vitrine.ml.score import newest_n, score_requests, validate_requests
 from vitrine.ml.select import benchmark, cv_r2, leaderboard, prepare_training, tune, winner
 from vitrine.plans import oracle as O
 from vitrine.plans.catalog import register, round_doubles, table
-from vitrine.session import materialise
+from vitrine.session import materialise_once
 
 SPLIT_SQL = ("CASE WHEN CAST(('0x' || substr(md5(concat_ws('|', '42', {k})), 1, 8)) AS BIGINT) % 100 < 80 "
              "THEN 'train' ELSE 'test' END")
@@ -229,18 +229,25 @@ def _gold(spark, sf_dir):
     from vitrine.plans import etl
     from vitrine.plans.queries_listing import gold_df
 
-    return materialise(etl.finalize(gold_df(spark, sf_dir), stamp=False).drop("created_at"), "gold")
+    return materialise_once(spark, "gold", sf_dir, lambda: etl.finalize(gold_df(spark, sf_dir), stamp=False).drop("created_at"))
+
+
+_FITTED: dict[tuple, list] = {}
 
 
 def _prepared(spark, sf_dir):
-    """Gold (finalised: internal columns dropped) -> prepared features, lineage cut by a checkpoint.
+    """Gold -> prepared features; both are written once per application and input (under ``spark.checkpoint.dir``).
 
-    Model fitting runs many jobs over the same rows; the reliable checkpoint
-    (written under ``spark.checkpoint.dir``) keeps each job from re-planning
-    and re-running the whole listing ETL, and survives executor loss.
+    Model fitting runs many jobs over the same rows; a written table keeps each job from re-running the whole listing
+    ETL, and survives executor loss.  All model queries share it.
     """
-    prepared, pre, cat, num = prepare_training(_gold(spark, sf_dir), ["url"])
-    return prepared.checkpoint(eager=True), pre, cat, num
+    key = (spark.sparkContext.applicationId, sf_dir)
+
+    def make():
+        prepared, *_FITTED[key] = prepare_training(_gold(spark, sf_dir), ["url"])
+        return prepared
+
+    return (materialise_once(spark, "prepared", sf_dir, make), *_FITTED[key])
 
 
 @register("mllib_benchmark", "M1-M3 M5 M6 M8 M10 M11 M15 M16 M21 M22 A23")
@@ -280,17 +287,48 @@ def q_mllib_stacking(spark, sf_dir):
     return run_record(pred.select("split", F.col("price_try").alias("y"), "pred"))
 
 
-@register("score_requests", "X1 X2 X3 T20 T25 T27 S12 S13 S14 M24 C8")
-def q_score(spark, sf_dir):
-    """Benchmark, tune and register a champion, then load it by its alias and score the request table."""
-    from vitrine.ml.select import load_champion
+def _registry_root(spark, sf_dir: str) -> str:
+    """One registry per application and input, which registering and scoring jobs share."""
+    import hashlib
+
+    from vitrine.session import checkpoint_dir
+
+    app = spark.sparkContext.applicationId
+    return f"{checkpoint_dir(spark).rstrip('/')}/champions-{app}-{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}"
+
+
+@register("register_champion", "C8 M21 M23 M24 S12 S13 S14 X3")
+def q_register(spark, sf_dir):
+    """Benchmark, tune the winner, refit, store it under a version of its own and move the alias to it."""
+    from vitrine.ml.registry import Registry
     from vitrine.plans.report import benchmark_tune_register
-    from vitrine.streaming.ingest import scratch_root
 
-    root = scratch_root(spark, "champion")
-    benchmark_tune_register(spark, _gold(spark, sf_dir), f"{root}/registry", f"{root}/models", ["url"], model_names=["Ridge", "Lasso"], trials=4)
-    champion, info = load_champion(spark, f"{root}/registry", "listing_price")
-    return score_requests(validate_requests(_requests(spark, sf_dir)).where("is_valid"), champion, info)
+    root = _registry_root(spark, sf_dir)
+    benchmark_tune_register(spark, _gold(spark, sf_dir), f"{root}/registry", f"{root}/models", ["url"], model_names=["Ridge", "Lasso"], trials=8,
+                            prepared=_prepared(spark, sf_dir))
+    return Registry(spark, f"{root}/registry").versions("listing_price").select("name", "version", "is_champion")
+
+
+def champion(spark, sf_dir: str):
+    """The champion of this input by its alias; where no job has registered one yet, a ridge of fixed penalty is."""
+    from pyspark.ml import PipelineModel
+
+    from vitrine.ml.registry import Registry
+
+    root = _registry_root(spark, sf_dir)
+    registry = Registry(spark, f"{root}/registry")
+    if registry.lookup("listing_price") is None:
+        prepared, pre, *_ = _prepared(spark, sf_dir)
+        model = M.fit("Ridge", prepared.where("split = 'train'"), {"alpha": 1.0})
+        registry.register("listing_price", PipelineModel([*pre.stages, model, M.in_currency()]), f"{root}/models")
+    return registry.load("listing_price")
+
+
+@register("score_requests", "X1 X2 T20 T25 T27 S14")
+def q_score(spark, sf_dir):
+    """The stored champion, loaded by its alias, scores the request table; nothing is benchmarked or tuned here."""
+    model, info = champion(spark, sf_dir)
+    return score_requests(validate_requests(_requests(spark, sf_dir)).where("is_valid"), model, info)
 
 
 @register("log_target_check", "A24", sql=(

@@ -40,9 +40,10 @@ def modelling_cleanup(df: DataFrame, target: str) -> DataFrame:
 
 def benchmark_tune_register(spark: SparkSession, gold: DataFrame, registry_path: str, model_dir: str,
                             key_cols: list[str], name: str = "listing_price", model_names: list[str] | None = None,
-                            trials: int | None = None) -> dict:
+                            trials: int | None = None, prepared: tuple | None = None) -> dict:
     """Benchmark the configured models, tune the winner, refit on train, register as champion.
 
+    ``prepared`` passes what ``prepare_training`` gave for this gold table, where a caller has it already.
     The stored pipeline predicts prices; its run record and the categorical options are stored with it.
     Quirk 10 kept: a winner without a search space (LinearRegression) registers nothing.
     """
@@ -56,8 +57,10 @@ def benchmark_tune_register(spark: SparkSession, gold: DataFrame, registry_path:
     from vitrine.ml.select import benchmark, prepare_training, register_champion, tune, winner
     from vitrine.operators.categories import options_map
 
-    prepared, pre, cat, _ = prepare_training(gold, key_cols)
-    prepared = prepared.checkpoint(eager=True)
+    if prepared is None:
+        fitted = prepare_training(gold, key_cols)
+        prepared = (fitted[0].checkpoint(eager=True), *fitted[1:])
+    prepared, pre, cat, _ = prepared
     runs = benchmark(prepared, model_names or BENCHMARK_MODELS)
     best = winner(runs).first()["winner"]
     result = {"runs": runs, "winner": best, "registered": None}

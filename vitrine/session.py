@@ -84,6 +84,26 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: dict[tuple, str] = {}
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever store it names; other errors are not taken for absence."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def materialise_once(spark: SparkSession, name: str, key: str, make) -> DataFrame:
+    """``make()`` written once per application, name and key; later calls read the same table while it is there."""
+    mark = (spark.sparkContext.applicationId, name, key)
+    if mark not in _WRITTEN or not path_exists(spark, _WRITTEN[mark]):
+        df = make()
+        path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        _WRITTEN[mark] = path
+    return spark.read.parquet(_WRITTEN[mark])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``; also makes it the context's checkpoint folder.
 
