@@ -20,8 +20,12 @@ from vitrine.functions.text import col_
 HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
 ANCHOR = r'<a\s([^>]*)>([^<]*)</a>'
-HREF = r'href="([^"]*)"'
-TITLE_ATTR = r'title="([^"]*)"'
+QUOTES = "^[\"']|[\"']$"
+
+
+def attribute_pattern(name: str) -> str:
+    """Group 1: the quoted value of the attribute of exactly this name (``data-title`` is not ``title``)."""
+    return rf"""(?s)(?:^|\s){name}\s*=\s*("[^"]*"|'[^']*')"""
 
 
 def unescape(c: Column | str) -> Column:
@@ -65,8 +69,7 @@ def anchors(pages: DataFrame, html: str = "html", keep: list[str] | None = None)
     attrs = F.regexp_extract_all(F.col(html), F.lit(ANCHOR), 1)
     texts = F.regexp_extract_all(F.col(html), F.lit(ANCHOR), 2)
     z = pages.select(*keep, F.posexplode(F.arrays_zip(attrs.alias("a"), texts.alias("t"))).alias("pos", "m"))
-    href = F.regexp_extract(F.col("m.a"), HREF, 1)
-    title = F.regexp_extract(F.col("m.a"), TITLE_ATTR, 1)
+    href, title = (F.regexp_replace(F.regexp_extract(F.col("m.a"), attribute_pattern(a), 1), QUOTES, "") for a in ("href", "title"))
     text = element_text(F.col("m.t"))
     return z.select(*keep, "pos", F.nullif(href, F.lit("")).alias("href"), text.alias("text"),
                     F.coalesce(F.nullif(unescape(title), F.lit("")), text).alias("value"))

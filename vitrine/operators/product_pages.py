@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.constants import HB_FIELDS, HB_PAGE, LINK, PRICE, SCRAPED_AT, TY_FIELDS, TY_PAGE
-from vitrine.operators.html import element_text, fold_repeated, scrape_stamp, unescape
+from vitrine.operators.html import QUOTES, attribute_pattern, element_text, fold_repeated, scrape_stamp, unescape
 
 
 def _has_class(name: str) -> str:
@@ -32,7 +32,7 @@ def _inner(html: Column, pattern: str) -> Column:
 
 def _attribute(attributes: Column, name: str) -> Column:
     """Decoded and trimmed attribute value, NULL if the attribute is absent or blank."""
-    return F.nullif(F.trim(unescape(F.regexp_extract(attributes, rf'\b{name}="([^"]*)"', 1))), F.lit(""))
+    return F.nullif(F.trim(unescape(F.regexp_replace(F.regexp_extract(attributes, attribute_pattern(name), 1), QUOTES, ""))), F.lit(""))
 
 
 @dataclass(frozen=True)

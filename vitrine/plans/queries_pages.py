@@ -8,14 +8,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vitrine.constants import HB_TO_TY, LABEL_TO_EN, LINK, PRICE, SCRAPED_AT
+from vitrine.operators import page_tree as T
 from vitrine.operators import product_pages as P
 from vitrine.plans.catalog import register, table
 from vitrine.sources.listing_view import SITES, bronze_sql, hb_bronze, ty_bronze
-from vitrine.sources.page_view import NO_PRICE_MOD, PER_PAGE, detail_pages, list_pages
+from vitrine.sources.page_view import NO_PRICE_MOD, PER_PAGE, detail_pages, list_pages, loosened
 
 
 def _bronze(spark, sf_dir, site):
-    return (ty_bronze if site == "ty" else hb_bronze)(table(spark, sf_dir, "part"))
+    """The site's listings, dealt to as many tasks as the session has cores: pages are made and read row by row."""
+    rows = (ty_bronze if site == "ty" else hb_bronze)(table(spark, sf_dir, "part"))
+    return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
 def _spaced(x: str) -> str:
@@ -92,3 +95,38 @@ def q_details_ty(spark, sf_dir):
 @register("product_details_hb", "H4 H5 H6 H7 H8 H9 H10 H11 D4 J1", sql=_details_sql("hb"))
 def q_details_hb(spark, sf_dir):
     return _details(spark, sf_dir, "hb")
+
+
+def _loose(pages):
+    return pages.withColumn("html", loosened(F.col("html")))
+
+
+def _loose_links(spark, sf_dir, site):
+    return T.extract_links(_loose(list_pages(_bronze(spark, sf_dir, site), site)), site)
+
+
+@register("loose_cards_ty", "H2 H10 D3 D4", sql=_links_sql("ty"))
+def q_loose_cards_ty(spark, sf_dir):
+    """Cards of pages in loose markup, generated by a table function over the page's element tree."""
+    return _loose_links(spark, sf_dir, "ty").toDF("page", "pos", "name", "price", "link", "stamp")
+
+
+@register("loose_list_items_hb", "H3 H6 H10 D3 D4", sql=_links_sql("hb"))
+def q_loose_cards_hb(spark, sf_dir):
+    return _loose_links(spark, sf_dir, "hb").toDF("page", "pos", "name", "price", "link", "stamp")
+
+
+def _loose_details(spark, sf_dir, site):
+    details = T.extract_details(_loose(detail_pages(_bronze(spark, sf_dir, site), site)), site)
+    rows = P.with_list_price(_loose_links(spark, sf_dir, site), details)
+    return rows.select(*[F.col(c).alias(LABEL_TO_EN[HB_TO_TY.get(c, c)]) for c in rows.columns])
+
+
+@register("loose_details_ty", "H4 H5 H7 H8 H9 H10 H11 D3 D4 J1", sql=_details_sql("ty"))
+def q_loose_details_ty(spark, sf_dir):
+    return _loose_details(spark, sf_dir, "ty")
+
+
+@register("loose_details_hb", "H4 H5 H6 H7 H8 H9 H10 H11 D3 D4 J1", sql=_details_sql("hb"))
+def q_loose_details_hb(spark, sf_dir):
+    return _loose_details(spark, sf_dir, "hb")

@@ -49,6 +49,19 @@ def _card(site: str) -> Column:
                     F.when(no_price, F.lit("")).otherwise(price), F.lit("</li>\n"))
 
 
+def loosened(html: Column) -> Column:
+    """The same page in looser markup: upper-case tags, single or no quotes, decoy attributes, nested blocks in rows, open list items."""
+    rules = ((r'<a class="([^"]*)" href="([^"]*)"', "<A data-title='no' CLASS='$1 x' data-href=\"/no\" HREF='$2'"),
+             (r'<a href="([^"]*)" title="([^"]*)"', "<a data-title='decoy' href='$1' title='$2'"),
+             (r'<li class="item">', "<LI class=item><div class=box><div>"), (r"</li>", "</div></div>"),
+             (r'<div class="([\w-]+)"><(span|div) class="([\w-]+)">', "<div data-x='<div>' class='odd $1 odd'><div class=inner><br><$2 class=$3>"),
+             (r'<span class="([\w-]+)">([^<]*)</span></div>', "<div><div class='$1'><p>$2</div></div></div></div>"),
+             (r'<span class="([\w-]+)">(<a[^>]*>[^<]*</a>)</span></div>', "<div><span class='$1'><b>$2</b></span></div></div></div>"))
+    for pattern, new in rules:
+        html = F.regexp_replace(html, pattern, new)
+    return html
+
+
 def list_pages(bronze: DataFrame, site: str) -> DataFrame:
     """page, url, html, fetched_at: ``PER_PAGE`` neighbouring listings per page, in order."""
     domain, _, snap, _ = SITES[site]
