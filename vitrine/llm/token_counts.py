@@ -132,7 +132,7 @@ def with_trees(docs: DataFrame, tokenizer: str, text_col: str = "text", segment:
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = bpe.encoder(tokenizer).encode
+        encode = bpe.encoder(tokenizer).encode_ordinary
         for batch in batches:
             trees = [build(t.as_py() or "", lambda s: len(encode(s)), segment) for t in batch.column(at)]
             leaves = [t.leaves() for t in trees]
@@ -158,7 +158,7 @@ def apply_edits(counted: DataFrame, tokenizer: str, edits_col: str = "edits", te
     with_text = columns is None or text_col in columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = bpe.encoder(tokenizer).encode
+        encode = bpe.encoder(tokenizer).encode_ordinary
         for batch in batches:
             n = len(names)
             texts, edits, chars, tokens = (batch.column(n + i) for i in range(4))
