@@ -136,12 +136,15 @@ def q_vote(spark, sf_dir):
 
 # ---------------------------------------------------------------- KNN
 
-@register("knn_predict", "J5 M17", sql=(
+_KNN_SQL = (
     f"WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label, {_split_sql('vec_id')} AS split FROM embeddings), "
     "d AS (SELECT t.vec_id AS test_id, r.vec_id AS train_id, r.label, list_distance(t.v, r.v) AS dist "
     "FROM e t JOIN e r ON t.split = 'test' AND r.split = 'train') "
     "SELECT test_id AS vec_id, round(avg(label), 4) AS pred FROM (SELECT *, row_number() OVER "
-    "(PARTITION BY test_id ORDER BY dist, train_id) AS rn FROM d) WHERE rn <= 3 GROUP BY test_id"))
+    "(PARTITION BY test_id ORDER BY dist, train_id) AS rn FROM d) WHERE rn <= 3 GROUP BY test_id")
+
+
+@register("knn_predict", "J5 M17", sql=_KNN_SQL)
 def q_knn(spark, sf_dir):
     e = hash_split(table(spark, sf_dir, "embeddings"), ["vec_id"])
     e = e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), F.col("label").cast("double"), "split")
@@ -149,6 +152,17 @@ def q_knn(spark, sf_dir):
     return round_doubles(out.withColumnRenamed("id", "vec_id"))
 
 
+@register("knn_indexed", "J5 M17", sql=_KNN_SQL)
+def q_knn_indexed(spark, sf_dir):
+    """The same neighbours through cells: blocks that no test row can need are never met."""
+    from vitrine.ml.knn_index import knn_indexed
+
+    e = hash_split(table(spark, sf_dir, "embeddings"), ["vec_id"]).where("embedding IS NOT NULL")
+    e = e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), F.col("label").cast("double"), "split")
+    out = knn_indexed(e.where("split = 'train'"), e.where("split = 'test'"), k=3)
+    return round_doubles(out.withColumnRenamed("id", "vec_id"))
+
+
 # ---------------------------------------------------------------- requests, history
 
 def _requests(spark, sf_dir):
