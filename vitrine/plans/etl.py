@@ -201,6 +201,19 @@ def run(spark: SparkSession, hb: DataFrame, ty: DataFrame, silver_path: str, gol
     return silver_df, (spark.read.parquet(gold_path) if fmt == "parquet" else spark.read.options(**_read_opts(fmt)).format(fmt).load(gold_path))
 
 
+def run_catalog(spark: SparkSession, hb: DataFrame, ty: DataFrame, silver_name: tuple[str, str] = ("transform", "laptops"),
+                gold_name: tuple[str, str] = ("features", "laptops_final")) -> DataFrame:
+    """C4 with catalog layers (S9, S10): silver and gold replaced as tables of their namespaces; returns the gold table."""
+    from vitrine.sources.sinks import replace_catalog_table
+
+    if "created_at" in hb.columns:
+        hb, ty = latest_snapshot(hb), latest_snapshot(ty)
+    warn_if_empty(hb, ty, label="bronze")
+    replace_catalog_table(spark, finalize(silver(merge_sources(hb, ty))), *silver_name)
+    replace_catalog_table(spark, finalize(gold(spark.table(".".join(silver_name)).drop("processed_at"))), *gold_name)
+    return spark.table(".".join(gold_name))
+
+
 def _read_opts(fmt: str) -> dict:
     return {"header": "true", "escape": '"', "multiLine": "true"} if fmt == "csv" else {}
 

@@ -45,6 +45,18 @@ def q_etl_run(spark, sf_dir):
     return round_doubles(gold.select(*O.SILVER_COLS, "ppi"))
 
 
+@register("etl_run_catalog", "C4 S9 S10", sql=(
+    "WITH " + O.gold_ctes() + " SELECT " + O.select_rounded(O.SILVER_COLS + ["ppi"], O.SILVER_DOUBLES + ["ppi"]) + " FROM gold"))
+def q_etl_catalog(spark, sf_dir):
+    """C4 into catalog tables that are replaced whole; run on an older half of the listings first, then on all."""
+    from vitrine.plans import etl
+    from vitrine.plans.queries_listing import bronze
+
+    hb, ty = bronze(spark, sf_dir)
+    etl.run_catalog(spark, hb.where("_seq % 2 = 0"), ty.where("_seq % 2 = 0"))
+    return round_doubles(etl.run_catalog(spark, hb, ty).select(*O.SILVER_COLS, "ppi"))
+
+
 @register("etl_run_csv", "C5 S5 S8 S11", sql=(
     "WITH " + O.gold_ctes() + " SELECT " + O.select_rounded(O.SILVER_COLS + ["ppi"], O.SILVER_DOUBLES + ["ppi"]) + " FROM gold"))
 def q_etl_csv(spark, sf_dir):

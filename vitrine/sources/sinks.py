@@ -7,10 +7,13 @@ parallel and the commit protocol makes a retried (lost) task safe.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.session import checkpoint_dir
+
 
 def route(sub_folder: str, platform: str) -> tuple[str, str]:
     """(namespace, table) for a scraped frame: links / raw / public, table = platform."""
@@ -52,15 +55,25 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     w.save(path)
 
 
-def replace_catalog_table(spark: SparkSession, df: DataFrame, namespace: str, table: str) -> None:
-    """S9 + S10 on a catalog: ``CREATE DATABASE IF NOT EXISTS`` then overwrite the table."""
-    create_namespace(spark, namespace)
-    df.write.mode("overwrite").saveAsTable(f"{namespace}.{table}")
+def replace_catalog_table(spark: SparkSession, df: DataFrame, namespace: str, table: str, folder: str | None = None) -> str:
+    """S9 + S10 on a catalog: the namespace if it is absent, then the whole table replaced; returns the new version's folder.
+
+    Every version is a folder of its own.  The catalog's name is a view of one version, and it is pointed at the new one
+    only when that is written whole, in one catalog operation: a reader sees the old rows or the new ones, a reader that
+    has begun goes on with the old, and an aborted write leaves the old.  Versions lie below ``folder`` (by default
+    the session's shared checkpoint folder).
+    """
+    folder = (folder or f"{checkpoint_dir(spark).rstrip('/')}/tables").rstrip("/")
+    create_namespace(spark, namespace, f"{folder}/{namespace}.db")
+    staged = f"{folder}/{namespace}.db/{table}/v-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    spark.sql(f"CREATE OR REPLACE VIEW `{namespace}`.`{table}` AS SELECT * FROM parquet.`{staged}`")
+    return staged
 
 
-def create_namespace(spark: SparkSession, namespace: str) -> None:
+def create_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
     """S10."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`" + (f" LOCATION '{location}'" if location else ""))
 
 
 def write_options_json(options_df: DataFrame, path: str) -> None:
