@@ -48,6 +48,42 @@ def read_table(spark: SparkSession, location: str, name: str | None = None, fmt:
     return spark.read.format(fmt).options(**options).load(location)
 
 
+def jdbc_predicates(spark: SparkSession, url: str, table: str, key: str, ranges: int, cells: int = 1024, **options) -> list[str]:
+    """Conditions that cut a table into about ``ranges`` parts of like size by a numeric key; every row meets one.
+
+    The database counts the rows of ``cells`` equal steps between the least and the greatest key, in one aggregate of
+    ``cells`` rows at most; neighbouring steps are put together until a part has its share, so a crowded stretch of keys is
+    cut finer than an empty one.  Rows without a key belong to the first part.  A single key with more than a share is one
+    part: a key cannot be cut.
+    """
+    def ask(query: str) -> DataFrame:
+        return read_table(spark, url, f"({query}) t", fmt="jdbc", **options)
+
+    low, high = ask(f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table}").first()
+    if low is None:
+        return ["1 = 1"]
+    low, high = int(low), int(high)
+    width = (high - low) // cells + 1
+    counts = ask(f"SELECT ({key} - {low}) / {width} AS cell, COUNT(*) AS n FROM {table} WHERE {key} IS NOT NULL GROUP BY ({key} - {low}) / {width}").collect()
+    share = sum(r[1] for r in counts) / max(1, ranges)
+    edges, held = [], 0
+    for cell, n in sorted((int(r[0]), r[1]) for r in counts):
+        if held and held + n / 2 > share:
+            edges.append(low + cell * width)
+            held = 0
+        held += n
+    bounds = [None, *edges, None]
+    parts = [" AND ".join([*([f"{key} >= {a}"] if a is not None else []), *([f"{key} < {b}"] if b is not None else [])]) or f"{key} >= {low}"
+             for a, b in zip(bounds, bounds[1:])]
+    return [f"({parts[0]}) OR {key} IS NULL", *parts[1:]]
+
+
+def read_jdbc_partitioned(spark: SparkSession, url: str, table: str, key: str, ranges: int, **options) -> DataFrame:
+    """A database table read by one task per part of ``jdbc_predicates``."""
+    return spark.read.jdbc(url, table, predicates=jdbc_predicates(spark, url, table, key, ranges, **options),
+                           properties={k: str(v) for k, v in options.items()})
+
+
 def read_bronze_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
                     schema: T.StructType | None = None, **options) -> DataFrame:
     """Scraped CSV, header row, UTF-8, every field a string, '"' doubled inside quotes.
