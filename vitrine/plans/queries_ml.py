@@ -345,6 +345,33 @@ def q_score(spark, sf_dir):
     return score_requests(validate_requests(_requests(spark, sf_dir)).where("is_valid"), model, info)
 
 
+def _session_requests(spark, sf_dir):
+    """Requests with a session and a time that follow from their ids."""
+    digest = F.md5("request_id")
+    number = lambda at, n: F.conv(F.substring(digest, at, n), 16, 10).cast("long")
+    return _requests(spark, sf_dir).withColumn("session", number(1, 1)).withColumn("asked_at", number(2, 7))
+
+
+@register("prediction_log", "X1 X4 W5", sql=(
+    f"WITH v AS ({_validate_sql()}), s AS (SELECT request_id, CAST('0x' || substr(md5(request_id), 1, 1) AS BIGINT) AS session, "
+    "CAST('0x' || substr(md5(request_id), 2, 7) AS BIGINT) AS asked_at FROM v WHERE is_valid) "
+    "SELECT session, request_id, asked_at, 'TRY' AS currency, TRUE AS has_price FROM s "
+    "QUALIFY row_number() OVER (PARTITION BY session ORDER BY asked_at DESC, request_id DESC) <= 50"))
+def q_prediction_log(spark, sf_dir):
+    """Requests that land in two lots are streamed through the champion into the log; the newest 50 per session."""
+    from vitrine.streaming.ingest import scratch_root
+    from vitrine.streaming.scoring import history, score_stream
+
+    root = scratch_root(spark, "scoring")
+    model, info = champion(spark, sf_dir)
+    rows = materialise(_session_requests(spark, sf_dir), "requests")
+    for lot in (0, 1):
+        rows.where(F.col("asked_at") % 2 == lot).write.mode("append").parquet(f"{root}/requests")
+        score_stream(spark, f"{root}/requests", rows.schema, model, info, f"{root}/log", f"{root}/checkpoint")
+    return history(spark, f"{root}/log").select(
+        "session", "request_id", "asked_at", "currency", F.col("predicted_price_try").isNotNull().alias("has_price"))
+
+
 @register("log_target_check", "A24", sql=(
     "SELECT quantile_cont(o_totalprice, 0.5) < 50 AS target_is_log FROM orders"))
 def q_log_target(spark, sf_dir):
