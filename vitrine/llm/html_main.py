@@ -7,9 +7,11 @@ page's own best container where the page has none there.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -40,43 +42,109 @@ CONTENT_WORDS = frozenset("article articlebody body content entry main post stor
 CONTAINERS = frozenset("article body center div main section td".split())
 
 
+#: Words of reader comments, words that turn a class into a statement about the page, heads of articles, plugin parts.
+READER_WORDS = frozenset("comment comments disqus replies reply respond".split())
+QUALIFIERS = frozenset("disabled enabled has have is no non not with without".split())
+HEADED = frozenset("article entry post story".split())
+PARTS = frozenset("widget widgets".split())
+MARKED = ("article", "main")
+HEADINGS = ("h1", "h2")
+PATH_CHARS = 512
+
+
 class _Node:
-    __slots__ = ("tag", "words", "parent", "path", "dropped", "score", "links", "inline")
+    """An element with links to what is above it; sums of text are filled in by ``_weigh``."""
+
+    __slots__ = ("tag", "words", "parent", "path", "inline", "hard", "dropped", "in_article", "content", "marked", "linked", "container",
+                 "score", "links", "mass", "good", "link_mass", "anchors", "paragraphs", "headings")
 
     def __init__(self, tag: str, words: tuple[str, ...], parent: _Node | None, hidden: bool):
         self.tag, self.words, self.parent = tag, words, parent
         self.inline = tag in INLINE
         self.score = self.links = 0.0
-        inside = parent is not None and (parent.dropped or hidden)
+        self.mass = self.good = self.link_mass = self.anchors = self.paragraphs = self.headings = 0
         self.path = "" if parent is None else parent.path
         if not self.inline:
             self.path = (self.path + ">" if self.path else "") + ".".join((tag, *sorted({re.sub(r"\d+", "#", w) for w in words})))
-        self.dropped = inside or hidden or tag in FURNITURE_TAGS and not (tag == "header" and self._in_article()) or (
-            tag not in ("html", "body", "main", "article") and any(p in FURNITURE_WORDS for w in words for p in re.split(r"[^a-z]+", w)))
-        if tag == "article" and parent is not None and any(p in ("comment", "comments", "reply") for w in words for p in re.split(r"[^a-z]+", w)):
-            self.dropped = True
-
-    def _in_article(self) -> bool:
-        node = self.parent
-        while node is not None:
-            if node.tag in ("article", "main"):
-                return True
-            node = node.parent
-        return False
+            if len(self.path) > PATH_CHARS:  # a node's path stays short however deep it lies
+                self.path = "~" + hashlib.blake2b(self.path.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+        above = parent is not None
+        self.in_article = tag in MARKED or above and parent.in_article
+        self.content = tag in MARKED or tag != "body" and any(p in CONTENT_WORDS for p in self._parts())
+        self.marked = self.content or above and parent.marked
+        self.linked = self.inline and (tag == "a" or above and parent.linked)
+        self.hard = self.dropped = (above and parent.hard) or hidden or tag in FURNITURE_TAGS and not (tag == "header" and above and parent.in_article)
+        # the container that a text counts for: an article or main part holds all that lies in it
+        self.container = parent.container if above else None
+        if tag in CONTAINERS and (tag in MARKED or self.container is None or self.container.tag not in MARKED):
+            self.container = self
+
+    def _parts(self) -> list[str]:
+        return [p for w in self.words for p in re.split(r"[^a-z]+", w)]
+
+    def furniture(self) -> set[str]:
+        """Words of class, id and role that speak for furniture; a hint, which the texts around may outweigh."""
+        hits: set[str] = set()
+        for w in self.words:
+            parts = set(re.split(r"[^a-z]+", w))
+            if parts & QUALIFIERS:
+                continue
+            found = parts & FURNITURE_WORDS
+            if self.in_article or parts & HEADED:
+                found = found - {"header"}
+            hits |= found
+        if self.tag in ("html", "body", "main"):
+            return set()
+        return hits & READER_WORDS if self.tag == "article" else hits
+
+
+def _weigh(root: _Node, nodes: list[_Node], events: list[tuple[_Node | None, str | None]]) -> None:
+    """Sum the texts of every element and decide which elements are furniture.
+
+    Elements and hidden parts of HTML that are never main text are cut as they are.  A class word cuts an element unless
+    it wraps the page: it holds more than half of the page's text, holds marked content, a heading or several paragraphs, and leaves (almost) no
+    marked content outside.  In a main part without article, lists and blocks made of links are menus.
+    """
+    for node, text in events:
+        if text is not None and not node.hard and (size := len(text.strip())):
+            node.mass += size
+            node.good += size * node.marked
+            node.link_mass += size * node.linked
+    for node in reversed(nodes):
+        up = node.parent
+        if not node.hard:
+            up.mass += node.mass
+            up.good += node.good
+            up.link_mass += node.link_mass
+            up.anchors += node.anchors + (node.tag == "a")
+            up.paragraphs += node.paragraphs + (node.tag == "p" and node.mass > 0)
+            up.headings += node.headings + (node.tag in HEADINGS and node.mass > 0)
+    for node in nodes:
+        if node.dropped or node.parent.dropped:
+            node.dropped = True
+            continue
+        if hits := node.furniture():
+            wraps = 2 * node.mass > root.mass and (node.good > 0 or node.headings > 0 or node.paragraphs > 1)
+            outside = (root.mass - node.mass if hits & READER_WORDS else root.good - node.good) * 20
+            part = hits <= PARTS and node.marked and 3 * node.link_mass < node.mass
+            node.dropped = not part and not (wraps and outside <= node.mass and not (hits & READER_WORDS and outside))
+        elif node.parent.tag == "main" and node.anchors > 2 and 5 * node.link_mass > 4 * node.mass and not node.paragraphs and not node.headings:
+            node.dropped = not node.inline and not node.content
 
 
 def parse(page: str) -> tuple[list[_Node], list[tuple[_Node | None, str | None]]]:
     """(nodes in page order, events): an event is a text with its node, or a block border (node, None)."""
     root = _Node("#", (), None, False)
-    root.path = ""
     nodes: list[_Node] = []
     events: list[tuple[_Node | None, str | None]] = []
     stack = [root]
+    open_tags: Counter[str] = Counter()
     at, end = 0, len(page)
 
     def close_to(depth: int) -> None:
         while len(stack) > depth:
             node = stack.pop()
+            open_tags[node.tag] -= 1
             if not node.inline:
                 events.append((node, None))
 
@@ -96,6 +164,8 @@ def parse(page: str) -> tuple[list[_Node], list[tuple[_Node | None, str | None]]
             continue
         tag = name.lower()
         if closing:
+            if not open_tags[tag]:
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 node = stack[depth]
                 if node.tag == tag:
@@ -104,7 +174,7 @@ def parse(page: str) -> tuple[list[_Node], list[tuple[_Node | None, str | None]]
                 if tag in INLINE and not node.inline:
                     break
             continue
-        if tag not in INLINE:
+        if tag not in INLINE and open_tags["p"]:
             # a block ends an open paragraph; an item ends the one before
             for depth in range(len(stack) - 1, 0, -1):
                 node = stack[depth]
@@ -113,7 +183,7 @@ def parse(page: str) -> tuple[list[_Node], list[tuple[_Node | None, str | None]]
                     break
                 if not node.inline:
                     break
-        if tag in SIBLING_ENDS:
+        if tag in SIBLING_ENDS and any(open_tags[t] for t in SIBLING_ENDS[tag]):
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag in SCOPES[tag]:
                     break
@@ -143,31 +213,27 @@ def parse(page: str) -> tuple[list[_Node], list[tuple[_Node | None, str | None]]
             at = end if over is None else over.start()
         if not (rest and rest.rstrip().endswith("/") and tag in ("svg", "path")):
             stack.append(node)
+            open_tags[tag] += 1
     close_to(1)
+    _weigh(root, nodes, events)
     return nodes, events
 
 
 def _score(nodes: list[_Node], events: list[tuple[_Node | None, str | None]]) -> list[_Node]:
-    """Containers by score: paragraphs count for the next container above them and half for the one after."""
+    """Containers by score: texts count for their container, half for the next one above and a quarter for the one after."""
     for node, text in events:
         if text is None or node is None or node.dropped or not (size := len(text.strip())):
             continue
-        linked, over = False, node
-        while over is not None and over.inline:
-            linked = linked or over.tag == "a"
-            over = over.parent
-        share = 1.0
+        share, over = 1.0, node.container
         while over is not None and share > 0.2:
-            if over.tag in CONTAINERS:
-                over.score += share * size
-                over.links += share * size * linked
-                share /= 2
-            over = over.parent
+            over.score += share * size
+            over.links += share * size * node.linked
+            share /= 2
+            over = over.parent.container if over.parent is not None else None
     found = []
     for node in nodes:
         if node.score > 0 and not node.dropped:
-            good = node.tag in ("article", "main") or any(p in CONTENT_WORDS for w in node.words for p in re.split(r"[^a-z]+", w))
-            node.score *= (1 - node.links / node.score) * (1.5 if good and node.tag != "body" else 1.0)
+            node.score *= (1 - node.links / node.score) * (1.5 if node.content else 1.0)
             if node.score > 0:
                 found.append(node)
     return sorted(found, key=lambda n: -n.score)
@@ -203,21 +269,23 @@ def _blocks(roots: set[int], events: list[tuple[_Node | None, str | None]], ever
     return "\n".join(lines)
 
 
-def page_votes(page: str) -> list[tuple[str, float]]:
-    """(path, share of the page's vote) of the page's containers, the best one first."""
+def page_votes(page: str) -> list[tuple[str, str, float]]:
+    """(path, path of the element above, share of the page's vote) of the page's containers, the best one first."""
     found = _score(*parse(page))
-    paths: dict[str, float] = {}
+    paths: dict[tuple[str, str], float] = {}
     for n in found:
-        paths[n.path] = max(paths.get(n.path, 0.0), n.score)
+        key = (n.path, n.parent.path)
+        paths[key] = max(paths.get(key, 0.0), n.score)
     total = sum(paths.values())
-    return [(p, s / total) for p, s in paths.items()]
+    return [(p, above, s / total) for (p, above), s in paths.items()]
 
 
-def main_text(page: str, path: str | None) -> str:
-    """Main text of one page, from the containers on ``path`` if it has any with text, else from its best container."""
+def main_text(page: str, path: str | Sequence[str] | None) -> str:
+    """Main text of one page, from the containers on the path or paths if any has text, else from its best container."""
     nodes, events = parse(page)
-    if path is not None:
-        roots = {id(n) for n in nodes if n.path == path and not n.inline and not n.dropped}
+    if path:
+        wanted = {path} if isinstance(path, str) else set(path)
+        roots = {id(n) for n in nodes if n.path in wanted and not n.inline and not n.dropped}
         if roots and (text := _blocks(roots, events)):
             return text
     found = _score(nodes, events)
@@ -233,10 +301,10 @@ def host(url: Column) -> Column:
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(h, p, s) for h, page in zip(batch.column(0).to_pylist(), batch.column(1)) for p, s in page_votes(page.as_py() or "")]
+        rows = [(h, *v) for h, page in zip(batch.column(0).to_pylist(), batch.column(1)) for v in page_votes(page.as_py() or "")]
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.float64()))],
-                                             names=["host", "path", "share"])
+            types = (pa.string(), pa.string(), pa.string(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["host", "path", "above", "share"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,17 +315,24 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["page_id", "url", "text", "n_chars"])
 
 
-def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """host, path, votes: the container path that wins most of the votes of a host's pages (ties: the smaller path).
+def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", least: float = 0.5, floor: float = 0.05) -> DataFrame:
+    """host, paths: the container paths that win a host's pages, the smaller of equal ones first.
 
+    The winner is the path with most of the votes (ties: more pages, then the smaller path).  Paths beside it below the
+    same element win too if they have ``least`` of its votes and ``floor`` of all the host's, so an article that is split
+    over neighbours stays whole and a host has at most 1 / floor further paths.
     Votes are added per host and path before any shuffle, so a host with a third of all pages costs no more rows.
     """
     rows = pages.select(host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    votes = (rows.mapInArrow(_vote, "host string, path string, share double").groupBy("host", "path")
-             .agg(F.sum("share").alias("share"), F.count("*").alias("n")))
     # votes in steps of a thousandth, so that the order of adding does not decide
-    best = F.max_by("path", F.struct(F.round("share", 3), "n", F.expr("transform(split(path, ''), c -> -ascii(c))")))
-    return votes.groupBy("host").agg(best.alias("path"), F.sum("n").alias("votes"))
+    votes = Scratch(pages.sparkSession, "votes").write(
+        rows.mapInArrow(_vote, "host string, path string, above string, share double").groupBy("host", "path", "above")
+        .agg(F.round(F.sum("share"), 3).alias("share"), F.count("*").alias("n")), "votes")
+    best = F.max_by(F.struct("path", "above", "share"), F.struct("share", "n", F.expr("transform(split(path, ''), c -> -ascii(c))")))
+    winner = votes.groupBy("host").agg(best.alias("best"), F.sum("share").alias("total"))
+    beside = (F.col("path") == F.col("best.path")) | ((F.col("share") >= least * F.col("best.share")) & (F.col("share") >= floor * F.col("total")))
+    return (votes.join(winner, "host").where((F.col("above") == F.col("best.above")) & beside)
+            .groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("paths")))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -268,8 +343,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     scratch = Scratch(pages.sparkSession, "html")
     # written, so that the planner knows its size and moves the pages only if the winners are too many to send
-    winners = scratch.write(host_paths(pages, url_col, html_col).select("host", "path"), "winners")
+    winners = scratch.write(host_paths(pages, url_col, html_col).select("host", "paths"), "winners")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html"), host(F.col(url_col)).alias("host"))
-    joined = rows.join(winners, "host", "left").select("page_id", "url", "html", "path")
+    joined = rows.join(winners, "host", "left").select("page_id", "url", "html", "paths")
     return joined.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
