@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from vitrine.llm import linear, words
+from vitrine.llm.scratch import free_names
 
 #: Buckets of hashed trigrams and of hashed words.
 BUCKETS = 4096
@@ -111,7 +112,8 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", tex
         per_language: int = FIT_PER_LANGUAGE) -> Model:
     """Fit on about ``per_language`` texts of each language, those with the least hashes of their ids.
 
-    The share of each language that is read follows from its count, so the sample is bounded whatever the input.
+    The share of each language that is read follows from its count, so the sample is bounded whatever the input; rows
+    that repeat an id (or have none) count once per language.
     Rows without a language, or whose text is null or has no letter, are not learned from.
     """
     rows = labelled.where(F.col(lang_col).isNotNull())
@@ -121,7 +123,9 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", tex
     for lang, n in sorted(counts.items()):
         keep = keep | ((F.col(lang_col) == lang) & (place < 1.1 * per_language / n))
     sample = rows.where(keep & F.col(text_col).rlike(r"\p{L}"))
-    got = sample.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInArrow(_packed, "lang string, x binary").collect()
+    # of rows that repeat an id one is learned from, so an id that many rows share brings no more than others
+    sample = sample.groupBy(F.col(id_col), F.col(lang_col).alias("lang")).agg(F.min(text_col).alias("text")).select("lang", "text")
+    got = sample.mapInArrow(_packed, "lang string, x binary").collect()
     if not got:
         return Model({}, [], np.zeros((2 * BUCKETS, 0), np.float32), np.zeros(0))
     got.sort(key=lambda r: (r["lang"], bytes(r["x"])))
@@ -157,7 +161,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str
     kept = [f for f in docs.schema.fields if f.name not in (lang_out, score_out) and (columns is None or f.name in columns)]
     names = [f.name for f in kept]
     text = F.col(f"`{text_col}`").cast("string")
-    source = docs.select(*[F.col(f"`{n}`") for n in names], text.alias("_text"), text.rlike(r"\p{L}").alias("_has_letter"))
+    whole, has_letter = free_names(names, "_text", "_has_letter")
+    source = docs.select(*[F.col(f"`{n}`") for n in names], text.alias(whole), text.rlike(r"\p{L}").alias(has_letter))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from vitrine.llm import linear, words
-from vitrine.llm.scratch import Scratch
+from vitrine.llm.scratch import Scratch, free_names
 
 #: Buckets of hashed words.
 BUCKETS = 8192
@@ -89,17 +89,22 @@ def domains_of(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def sample_ids(labels: DataFrame, counts: dict[str, int], per_domain: int = FIT_PER_DOMAIN) -> DataFrame:
-    """About ``per_domain`` labelled ids of each domain, those with the least hashes: a table of bounded size."""
+    """About ``per_domain`` labelled ids of each domain, those with the least hashes: a table of bounded size
+    with one row per id and domain, however often ``labels`` repeats them."""
     place = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     keep = F.lit(False)
     for domain, n in sorted(counts.items()):
         keep = keep | ((F.col("domain") == domain) & (place < 1.1 * per_domain / n))
-    return domains_of(labels).where(keep)
+    return domains_of(labels).where(keep).distinct()
 
 
 def fit(labelled: DataFrame, counts: dict[str, int], text_col: str = "text") -> Classifier:
     """Fit softmax regression on a bounded sample of labelled texts (columns domain and text), see ``sample_ids``."""
-    got = labelled.select("domain", F.col(text_col).cast("string").alias("text")).mapInArrow(_packed, "domain string, x binary").collect()
+    rows = labelled.select("domain", *(["doc_id"] if "doc_id" in labelled.columns else []), F.col(text_col).cast("string").alias("text"))
+    if "doc_id" in rows.columns:
+        # an id that many rows share is learned once
+        rows = rows.groupBy("doc_id", "domain").agg(F.min("text").alias("text"))
+    got = rows.select("domain", "text").mapInArrow(_packed, "domain string, x binary").collect()
     domains = sorted({r["domain"] for r in got})
     if len(domains) < 2:
         return Classifier(domains, np.zeros((BUCKETS + STYLE, len(domains))))
@@ -123,7 +128,8 @@ def posteriors(docs: DataFrame, classifier: Classifier, text_col: str = "text",
     ``docs`` with one of these two names fall away."""
     kept = [f for f in docs.schema.fields if f.name not in (tokens_out, posterior_out) and (columns is None or f.name in columns)]
     names = [f.name for f in kept]
-    source = docs.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{text_col}`").cast("string").alias("_text"))
+    whole, = free_names(names, "_text")
+    source = docs.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{text_col}`").cast("string").alias(whole))
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,6 +168,12 @@ class Rates:
     pulls: list[np.ndarray]
     hold: float
 
+    @property
+    def misfit(self) -> dict[str, float]:
+        """Expected tokens above (below: negative) what each domain should have when the fitting ended; all within the
+        tolerance unless the steps were used up or the targets cannot be met by these documents."""
+        return {d: self.totals[d] - self.wanted[d] for d in self.totals}
+
     def rate(self, posterior: Column) -> Column:
         """The fitted rate of a document with this posterior."""
         return _replayed(posterior, self.pulls, 1 / (1 + self.hold), self.hold)
@@ -174,7 +186,7 @@ def mix(docs: DataFrame, classifier: Classifier, targets: dict[str, float], id_c
     Minimises the squared misfit between the expected tokens of each domain and ``targets`` (weights, scaled to
     ``budget`` tokens; None: as many as there are), measured in the metric in which one step settles the fit of the
     documents above zero, plus ``hold`` times the squared distance of the rates from 1, over rates >= 0.  Stops when no domain's total
-    moves or misses by more than ``tolerance`` of the budget, or after ``steps`` steps.
+    moves or misses by more than ``tolerance`` of the budget, or after ``steps`` steps; ``misfit`` of the result tells what is left.
 
     A null or empty text has no tokens: its posterior is that of the intercepts and its rate changes no total.
     Every row is a document, also repeated rows and rows without an id.  Domains without a target weigh 0.  With an

@@ -142,7 +142,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, id_col: str = "d
             break
         left, turn = now, turn + 1
         groups = -(-now // group_items)
-        keyed = rest.withColumn("g", F.pmod(F.xxhash64(F.col("members")[0], F.lit(turn)), F.lit(groups)))
+        # the row's own number of the written table is part of the key: equal members spread over the groups
+        keyed = rest.withColumn("g", F.pmod(F.xxhash64(F.col("members")[0], F.monotonically_increasing_id(), F.lit(turn)), F.lit(groups)))
         merged = scratch.write(keyed.groupBy("g").applyInArrow(_merge(capacity, slack), _BIN_DDL), f"round-{turn}")
         done.append(merged.where("closed"))
         rest = merged.where("NOT closed")

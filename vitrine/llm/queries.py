@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm import bpe, hard_negatives, html_main, langid, licence, mixing, near_embed, ngram_join, packing, periodic, substring, token_counts, topk, toxicity
+from vitrine.llm.scratch import Scratch
 
 #: Weights of the domains in the mix: more good text, less of the rest.
 MIX_TARGETS = {"high": 0.9, "low": 0.09, "toxic": 0.01}
@@ -45,8 +46,8 @@ def fit_domains(spark: SparkSession, sf_dir: str, docs: DataFrame) -> mixing.Cla
     """Classifier learned from a bounded sample of the labels table and the texts of its documents."""
     labels = _table(spark, sf_dir, "labels")
     counts = mixing.shares(labels)
-    # the sample's size is bounded by its parameter, so it may be sent to every executor
-    sample = docs.select("doc_id", "text").join(F.broadcast(mixing.sample_ids(labels, counts)), "doc_id")
+    ids = Scratch(spark, "labelled").sent(mixing.sample_ids(labels, counts), "ids")
+    sample = docs.select("doc_id", "text").join(ids, "doc_id")
     return mixing.fit(sample, counts)
 
 

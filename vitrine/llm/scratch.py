@@ -14,6 +14,18 @@ from pyspark.sql import functions as F
 from vitrine.session import checkpoint_dir
 
 
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """The wanted column names, each with as many underscores behind it as ``taken`` (whatever the case) makes necessary."""
+    used = {t.lower() for t in taken}
+    found = []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        found.append(name)
+    return found
+
+
 class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
