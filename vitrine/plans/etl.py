@@ -93,6 +93,7 @@ def fill_specs_from_title(df: DataFrame, title: str = "Başlık") -> DataFrame:
 
 # Cleaned before the deduplication shuffle: its keys and the filter inputs.
 _PRE_SHUFFLE = ["Başlık", "Fiyat (TRY)", "Marka"]
+SILVER_KEYS = ["title", "price_try"]
 
 
 def silver(merged: DataFrame) -> DataFrame:
@@ -105,6 +106,13 @@ def silver(merged: DataFrame) -> DataFrame:
     whose price does not parse are dropped before the shuffle: all members of a
     (title, price text) group share the text, so groups drop whole.
     """
+    keyed = silver_keyed(merged)
+    # 6. keep the last copy per (title, price text); second source wins
+    return silver_parsed(keep_last(keyed, SILVER_KEYS, [c for c in ORDER_COLS if c in keyed.columns]))
+
+
+def silver_keyed(merged: DataFrame) -> DataFrame:
+    """C2 up to the keep-last step: cleaned keys, Apple filter, rows with a price."""
     stypes = dict(merged.dtypes)
     pre = [c for c in _PRE_SHUFFLE if c in merged.columns]
     # 1a. clean the keys and filter inputs
@@ -115,12 +123,13 @@ def silver(merged: DataFrame) -> DataFrame:
     df = exclude_brand(df)
     # 5/7. price must parse (checked before the shuffle, see above)
     price_type = dict(df.dtypes).get("price_try", "string")
-    df = df.withColumn("_price", parse_price(F.col("price_try"), price_type)).where(F.col("_price").isNotNull())
-    # 6. keep the last copy per (title, price text); second source wins
-    order = [c for c in ORDER_COLS if c in df.columns]
-    df = keep_last(df, ["title", "price_try"], order)
+    return df.withColumn("_price", parse_price(F.col("price_try"), price_type)).where(F.col("_price").isNotNull())
+
+
+def silver_parsed(df: DataFrame) -> DataFrame:
+    """C2 from the keep-last step on: row-local cleaning, title fills and parsers."""
     # 1b. clean every other string column
-    done = {LABEL_TO_EN.get(c, c) for c in pre} | {"_price"}
+    done = {LABEL_TO_EN.get(c, c) for c in _PRE_SHUFFLE} | {"_price"}
     df = map_string_columns(df, clean_text, skip=tuple(done))
     # 2. fill four attributes from the cleaned title where they are NULL
     df = fill_specs_from_title(df.withColumnsRenamed({"title": "Başlık"}), title="Başlık")

@@ -13,21 +13,21 @@ from vitrine.plans.catalog import register, round_doubles
 @register("incremental_ingest", "R1 S6 C1 C2", sql=(
     "WITH " + O.silver_ctes(snapshot=False) + " SELECT " + O.select_rounded(O.SILVER_COLS, O.SILVER_DOUBLES) + " FROM silver"))
 def q_incremental(spark, sf_dir):
-    """Land all days of the listing bronze as many files, the newest day first, and stream them into silver."""
+    """Land all days of the listing bronze as many files, the newest day first; the stream is started anew for the older days."""
     from vitrine.plans.queries_listing import bronze
     from vitrine.streaming.ingest import incremental_silver, land_bronze, read_silver, scratch_root
 
     root = scratch_root(spark, "incremental")
-    schemas = []
-    for site, rows in zip(("hb", "ty"), bronze(spark, sf_dir)):
-        path = os.path.join(root, f"bronze_{site}")
-        newest = rows.agg(F.to_date(F.max("created_at"))).scalar()
-        for part in (rows.where(F.to_date("created_at") == newest), rows.where(F.to_date("created_at") != newest)):
-            land_bronze(part.repartition(12), path)
-        schemas.append(spark.read.parquet(path).schema)
-    silver_path = os.path.join(root, "silver")
-    incremental_silver(spark, os.path.join(root, "bronze_hb"), os.path.join(root, "bronze_ty"), silver_path,
-                       os.path.join(root, "_checkpoint"), *schemas, max_files=16)
+    sites = dict(zip(("hb", "ty"), bronze(spark, sf_dir)))
+    newest = {site: rows.agg(F.to_date(F.max("created_at"))).scalar() for site, rows in sites.items()}
+    silver_path, schemas = os.path.join(root, "silver"), {}
+    for is_newest in (True, False):
+        for site, rows in sites.items():
+            day = F.to_date("created_at") == newest[site]
+            land_bronze(rows.where(day if is_newest else ~day).repartition(12), os.path.join(root, f"bronze_{site}"))
+            schemas.setdefault(site, spark.read.parquet(os.path.join(root, f"bronze_{site}")).schema)
+        incremental_silver(spark, os.path.join(root, "bronze_hb"), os.path.join(root, "bronze_ty"), silver_path,
+                           os.path.join(root, "_checkpoint"), schemas["hb"], schemas["ty"], max_files=8, compact_every=2)
     return round_doubles(read_silver(spark, silver_path).select(*O.SILVER_COLS))
 
 
