@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.constants import MISSING_LABEL
@@ -110,10 +110,16 @@ def kde_grid(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     return sums.select(F.stack(F.lit(points), *cols).alias("i", "x", "density"))
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Pearson r over rows where both are there; null without variance (``F.corr`` divides by zero there under ANSI)."""
+    both = x.isNotNull() & y.isNotNull()
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y)))
+
+
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson r for every ordered pair, pairwise-complete (``F.corr`` skips NULL pairs), one pass."""
+    """Pearson r for every ordered pair, pairwise-complete, one pass; a constant column has null."""
     pairs = [(a, b) for a in cols for b in cols]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)])
     parts = ", ".join(f"'{a}', '{b}', `_r{i}`" for i, (a, b) in enumerate(pairs))
     return row.selectExpr(f"stack({len(pairs)}, {parts}) AS (col_a, col_b, r)")
 

@@ -260,3 +260,31 @@ def q_table_shapes(spark, sf_dir):
             F.lit(t).alias("table_name"), "n_rows", F.lit(len(df.columns)).cast("long").alias("n_cols"))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+# ------------------------------------------------------------ whole profile
+
+_PROFILE_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_PROFILE_CAT = ["l_returnflag", "l_linestatus"]
+
+
+def _profile_sql(source: str, nums: list[str], cats: list[str], others: list[str], bins: int = 30) -> str:
+    parts = [f"SELECT '{c}' AS column_name, '{s}' AS stat, '' AS key, round(CAST({x} AS DOUBLE), 4) AS value FROM {source}"
+             for c in [*nums, *cats, *others]
+             for s, x in (("missing", f"count(*) - count({c})"), ("missing_pct", f"100.0 * (count(*) - count({c})) / count(*)"))]
+    parts += [f"SELECT '{c}', '{s}', '', round(CAST({f}({c}) AS DOUBLE), 4) FROM {source}"
+              for c in nums for s, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))]
+    parts += [f"SELECT '{a}', 'corr', '{b}', round(corr({a}, {b}), 4) FROM {source}" for i, a in enumerate(nums) for b in nums[i + 1:]]
+    parts += [f"SELECT '{c}', 'bin', CAST(CAST(least(floor((CAST({c} AS DOUBLE) - mn) / ((mx - mn) / {bins})), {bins - 1}) AS BIGINT) AS VARCHAR) AS key, "
+              f"CAST(count(*) AS DOUBLE) FROM {source}, (SELECT CAST(min({c}) AS DOUBLE) AS mn, CAST(max({c}) AS DOUBLE) AS mx FROM {source}) "
+              f"WHERE {c} IS NOT NULL GROUP BY 3" for c in nums]
+    parts += [f"SELECT '{c}', 'count', {c}, CAST(count(*) AS DOUBLE) FROM {source} WHERE {c} IS NOT NULL GROUP BY {c}" for c in cats]
+    return " UNION ALL ".join(parts)
+
+
+@register("table_profile", "C6 A3 A5 A6 A7 A14 A16", sql=_profile_sql("lineitem", _PROFILE_NUM, _PROFILE_CAT, ["l_shipdate"]))
+def q_table_profile(spark, sf_dir):
+    """All columns of lineitem in two scans."""
+    from vitrine.operators.table_profile import table_profile
+
+    return round_doubles(table_profile(table(spark, sf_dir, "lineitem")))
