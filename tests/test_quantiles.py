@@ -46,3 +46,15 @@ def test_values_below_a_bracket_are_one_row(spark, monkeypatch):
     v = np.arange(100_000) * 7919 % 100_003
     assert Q.exact_quantiles(df, "x", [0.5]).first()["q_0"] == float(np.median(v))
     assert sizes[0] < 3000
+
+
+def test_box_stats_meet_few_groups_by_broadcast(spark):
+    """Three columns must not put all their rows into three tasks: the fences are small and of known size."""
+    from vitrine.operators import profile as P
+
+    df = spark.range(20_000).selectExpr("CAST(id AS DOUBLE) AS a", "CAST(id % 7 AS DOUBLE) AS b", "CAST(NULL AS DOUBLE) AS c")
+    got = P.box_stats(df, ["a", "b", "c"])
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    rows = {r.column_name: r for r in got.collect()}
+    assert set(rows) == {"a", "b"} and rows["a"].median == 9999.5 and rows["b"].iqr == 4.0 and rows["a"].n_outliers == 0

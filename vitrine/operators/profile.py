@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vitrine.constants import MISSING_LABEL
 from vitrine.operators.quantiles import exact_quantiles, stack_numeric
+from vitrine.session import materialise
 
 
 def _stack_row(row_df: DataFrame, names: list[str], fields: list[list[str]], out: list[str]) -> DataFrame:
@@ -51,7 +52,9 @@ def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None) -> Da
     """Quartiles, 1.5 IQR fences, whiskers (furthest points inside the fences), outlier count.
 
     Two passes: exact quartiles per (column[, group]), then one aggregate over
-    the data joined to that small quartile table.
+    the data joined to that small quartile table.  The quartiles are written
+    first: with its size known the table is broadcast while it is small, so a
+    few groups do not put the data into as many tasks.
     """
     by = list(by or [])
     long = stack_numeric(df.select(*by, *cols), cols) if not by else df.selectExpr(
@@ -62,6 +65,7 @@ def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None) -> Da
         *keys, F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3"))
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
+    q = materialise(q, "fences")
     v = F.col("value")
     inside = v.between(F.col("lo_fence"), F.col("hi_fence"))
     agg = long.where(v.isNotNull()).join(q, keys).groupBy(*keys).agg(
