@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.ml.models import _nearest
+from vitrine.ml.models import _nearest, block_bucket, block_buckets
 from vitrine.session import materialise
 
 #: Cells, train rows that their centres are fitted on (a bounded sample by hash of the id), and rows per block.
@@ -97,10 +97,15 @@ def knn_indexed(train: DataFrame, test: DataFrame, k: int = 3, id_col: str = "id
     pairs = materialise(block_pairs(tests, trains, centres), "knn-pairs")
     t_side = tests.select(F.col("block").alias("t_block"), F.col("ids").alias("t_ids"), F.col("vectors").alias("t_vectors"))
     best = Window.partitionBy("test_id").orderBy("dist", "train_id")
+    buckets = block_buckets(trains)
 
     def walked(some: DataFrame) -> DataFrame:
-        both = some.select("t_block", "block").join(t_side, "t_block").join(trains.select("block", "ids", "vectors", "labels"), "block")
-        found = both.select("t_block", "t_ids", "t_vectors", "ids", "vectors", "labels").drop("t_block").mapInPandas(
+        # a test block's vectors go once to every bucket that holds a train block it meets, not once to every such block
+        wanted = some.groupBy("t_block", block_bucket(buckets, "block").alias("_b")).agg(F.collect_set("block").alias("_wanted"))
+        dealt = wanted.join(t_side, "t_block")
+        kept = trains.select(block_bucket(buckets, "block").alias("_b"), "block", "ids", "vectors", "labels")
+        both = dealt.join(kept, "_b").where(F.array_contains("_wanted", F.col("block")))
+        found = both.select("t_ids", "t_vectors", "ids", "vectors", "labels").mapInPandas(
             _nearest(k), "test_id long, train_id long, dist double, label double")
         return found.withColumn("_rk", F.row_number().over(best)).where(F.col("_rk") <= k)
 

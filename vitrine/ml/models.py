@@ -17,7 +17,7 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
 )
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.session import materialise
@@ -159,39 +159,94 @@ def _blocks(rows: int):
     return run
 
 
+def _direct(tests: np.ndarray, trains: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(test row, train row, distance) of the k nearest train rows, by direct differences of every pair."""
+    d = np.sqrt(((tests[:, None, :] - trains[None]) ** 2).sum(axis=2))
+    order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, :k]
+    return np.repeat(np.arange(len(tests)), order.shape[1]), order.ravel(), np.take_along_axis(d, order, 1).ravel()
+
+
+def _screened(tests: np.ndarray, trains: np.ndarray, squares: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same from a matrix product: it says which pairs may be among the k, and only these are differenced.
+
+    The product's error is bounded by the vectors' lengths, so no pair that belongs to the k is lost.
+    """
+    own = (tests ** 2).sum(axis=1)
+    rough = own[:, None] + squares[None] - 2 * (tests @ trains.T)
+    if len(trains) > k:
+        slack = 16 * (tests.shape[1] + 8) * np.finfo("<f8").eps * (own + squares.max()) + 1e-300
+        row, col = np.nonzero(rough <= (np.partition(rough, k - 1, axis=1)[:, k - 1] + slack)[:, None])
+    else:
+        row, col = np.nonzero(np.ones(rough.shape, bool))
+    d = np.sqrt(((tests[row] - trains[col]) ** 2).sum(axis=1))
+    order = np.lexsort((ids[col], d, row))
+    row, col, d = row[order], col[order], d[order]
+    kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[kept], col[kept], d[kept]
+
+
+#: Candidates that a task holds before it keeps the k nearest of each test row, and hands them on if they are still many.
+HELD_ROWS = 400_000
+
+
+def _best(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    ordered = found.sort_values(["test_id", "dist", "train_id"], kind="stable")
+    return ordered[ordered.groupby("test_id", sort=False).cumcount() < k]
+
+
 def _nearest(k: int, step: int = 32):
-    """k nearest of a train block per row of a test block, by direct differences."""
+    """k nearest of a train block per row of a test block; a task's candidates for a test row are thinned to k."""
     def run(batches):
+        held, n = [], 0
         for pdf in batches:
             for r in pdf.itertuples(index=False):
                 t_ids, ids, labels = (np.frombuffer(x, d) for x, d in ((r.t_ids, "<i8"), (r.ids, "<i8"), (r.labels, "<f8")))
                 tests, trains = (np.frombuffer(x, "<f8").reshape(len(i), -1) for x, i in ((r.t_vectors, t_ids), (r.vectors, ids)))
-                out = []
+                with np.errstate(over="ignore", invalid="ignore"):
+                    squares = (trains ** 2).sum(axis=1)
+                    # beyond this the product could overflow; not-a-number fails the comparison too
+                    plain = not (squares.max(initial=0.0) < 1e300 and (tests ** 2).sum(axis=1).max(initial=0.0) < 1e300)
                 for s in range(0, len(tests), step):
-                    d = np.sqrt(((tests[s:s + step, None, :] - trains[None]) ** 2).sum(axis=2))
-                    order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, :k]
-                    rows = np.repeat(t_ids[s:s + step], order.shape[1])
-                    out.append(pd.DataFrame({"test_id": rows, "train_id": ids[order].ravel(),
-                                             "dist": np.take_along_axis(d, order, 1).ravel(), "label": labels[order].ravel()}))
-                yield pd.concat(out)
+                    some = tests[s:s + step]
+                    row, col, d = _direct(some, trains, ids, k) if plain else _screened(some, trains, squares, ids, k)
+                    held.append(pd.DataFrame({"test_id": t_ids[s:s + step][row], "train_id": ids[col], "dist": d, "label": labels[col]}))
+                    n += len(row)
+                if n > HELD_ROWS:
+                    held = [_best(pd.concat(held), k)]
+                    n = len(held[0])
+                    if n > HELD_ROWS // 2:
+                        yield held[0]
+                        held, n = [], 0
+        if held:
+            yield _best(pd.concat(held), k)
     return run
 
 
+def block_buckets(trains: DataFrame) -> int:
+    """Buckets that train blocks are dealt to: enough for all cores, and never more than blocks."""
+    return max(1, min(trains.count(), 4 * trains.sparkSession.sparkContext.defaultParallelism))
+
+
+def block_bucket(buckets: int, *key: str) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
 def knn_predict(train: DataFrame, test: DataFrame, k: int = 3, id_col: str = "id", vec: str = "vec",
                 label: str = "label", block: int = 1024) -> DataFrame:
     """Exact k nearest neighbours (Euclidean, ties by train id), uniform mean of labels.
 
     Both sides are packed into blocks of at most ``block`` rows.  Every test block is dealt to every bucket of train
-    blocks and meets them in an equality join, so no row passes through the driver and no pair table is built; a pair
-    of blocks yields k candidates per test row, and a window with a map-side group limit keeps the k best.  The work
-    is test rows x train rows / cores: exact search has no cheaper form without an index.
+    blocks and meets them in an equality join, so no row passes through the driver and no pair table is built; the
+    buckets follow from the cores, so the test rows that are shuffled grow with the test rows alone.  A task keeps k
+    candidates per test row, and a window with a map-side group limit the k best of all.  The work is test rows x
+    train rows / cores: exact search has no cheaper form without an index.
     """
     trains = materialise(train.select(F.col(id_col).cast("long"), vec, F.col(label).cast("double")).mapInPandas(_blocks(block), _BLOCK), "knn")
-    buckets = max(1, trains.count())
+    buckets = block_buckets(trains)
     tests = test.select(F.col(id_col).cast("long"), vec, F.lit(0.0).alias("_none")).mapInPandas(_blocks(block), _BLOCK)
     dealt = tests.select(F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_b"), F.col("ids").alias("t_ids"),
                          F.col("vectors").alias("t_vectors"))
-    kept = trains.select(F.pmod(F.xxhash64("block", "n"), F.lit(buckets)).cast("int").alias("_b"), "ids", "vectors", "labels")
+    kept = trains.select(block_bucket(buckets, "block", "n").alias("_b"), "ids", "vectors", "labels")
     pairs = dealt.join(kept, "_b").select("t_ids", "t_vectors", "ids", "vectors", "labels")
     cand = pairs.mapInPandas(_nearest(k), "test_id long, train_id long, dist double, label double")
     w = Window.partitionBy("test_id").orderBy("dist", "train_id")
