@@ -41,3 +41,40 @@ def test_attribute_of_exactly_that_name(spark):
     for rows in (T.extract_links(pages, "hb"), P.extract_links(pages, P.PROFILES["hb"])):
         got = rows.collect()
         assert [(r.Name, r.Price, r.Link) for r in got] == [('Book "1"', "1 TL", "/yes")]
+
+
+def _general(html):
+    builder = T._Builder()
+    builder.feed(html)
+    builder.close()
+    return builder.root
+
+
+def _shape(e):
+    out = []
+    for c in e.children:
+        if isinstance(c, str) and out and isinstance(out[-1], str):
+            out[-1] += c
+        else:
+            out.append(c if isinstance(c, str) else _shape(c))
+    return e.tag, e.attributes, e.classes, out
+
+
+def test_pages_in_usual_markup_have_the_general_parsers_tree():
+    rows = "".join(f"<div class='row r{i}' data-x='<b>'><span class=name>A &amp; &lt;{i}</span><br><p title=\"&quot;{i}&#39;\">x<p>y</div>" for i in range(30))
+    page = f"<html><BODY><ul><LI class=a>1<li>2</ul>{rows}</nope>tail &nbsp"
+    assert T._plain_tree(page) is not None and _shape(T._plain_tree(page)) == _shape(_general(page))
+    for odd in ("<script>a<b</script>", "<!-- x -->", "a < b", "<p x = 1>", "<br/>", "<a href='q?a&lt=1'>", "<p", "</"):
+        assert T._plain_tree(odd) is None and _shape(T.tree(odd)) == _shape(_general(odd))
+
+
+def test_every_page_is_read_once_and_repeated_pages_are_one_row(spark):
+    at = datetime.datetime(2025, 12, 17, 13, 3, 44)
+    pages = spark.createDataFrame([("u1", HTML, at), ("u1", HTML, at), (None, HTML, None), ("u1", HTML, at.replace(day=18))],
+                                  "url string, html string, fetched_at timestamp")
+    got = T.extract_details(pages, "ty")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("DetailRows") == 0  # already read, into a written table
+    rows = {(r["Link"], r["Çekilme Zamanı"]): r for r in got.collect()}
+    assert set(rows) == {("u1", "2025-12-17 13:03:44"), (None, None), ("u1", "2025-12-18 13:03:44")}
+    # labels at the same place of equal pages follow each other
+    assert rows["u1", "2025-12-17 13:03:44"]["Renk"] == "Mavi; Gri; Gri" and rows[None, None]["Renk"] == "Mavi; Gri"
