@@ -46,8 +46,9 @@ def cleaned_en(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hb, ty = bronze(spark, sf_dir)
-    return etl.silver_from_bronze(hb, ty, snapshot=True)
+    # a part row is a few bytes but much work as a listing: the rows are dealt to all cores, not to the tasks of a small file
+    part = table(spark, sf_dir, "part").repartition(spark.sparkContext.defaultParallelism)
+    return etl.silver_from_bronze(hb_bronze(part), ty_bronze(part), snapshot=True)
 
 
 def gold_df(spark: SparkSession, sf_dir: str) -> DataFrame:

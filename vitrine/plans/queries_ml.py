@@ -165,10 +165,17 @@ def q_knn_indexed(spark, sf_dir):
 
 # ---------------------------------------------------------------- requests, history
 
-def _requests(spark, sf_dir):
+def _silver(spark, sf_dir):
+    """Silver, written once per application and input: gold and the scored requests are both made from it."""
     from vitrine.plans.queries_listing import silver_df
 
-    s = silver_df(spark, sf_dir)
+    return materialise_once(spark, "silver", sf_dir, lambda: silver_df(spark, sf_dir))
+
+
+def _requests(spark, sf_dir, silver=None):
+    from vitrine.plans.queries_listing import silver_df
+
+    s = silver if silver is not None else silver_df(spark, sf_dir)
     return s.select(F.col("url").alias("request_id"), "ram_gb", "ssd_gb", "screen_size_inch", "resolution",
                     "brand", "platform", "panel_type", "operating_system", "cpu_family", "ram_type", "gpu_model",
                     "cpu_generation", "gpu_vram_gb", "refresh_rate_hz", "cpu_max_ghz")
@@ -241,9 +248,8 @@ def q_history(spark, sf_dir):
 
 def _gold(spark, sf_dir):
     from vitrine.plans import etl
-    from vitrine.plans.queries_listing import gold_df
 
-    return materialise_once(spark, "gold", sf_dir, lambda: etl.finalize(gold_df(spark, sf_dir), stamp=False).drop("created_at"))
+    return materialise_once(spark, "gold", sf_dir, lambda: etl.finalize(etl.gold(_silver(spark, sf_dir)), stamp=False).drop("created_at"))
 
 
 _FITTED: dict[tuple, list] = {}
@@ -340,16 +346,19 @@ def champion(spark, sf_dir: str):
 
 @register("score_requests", "X1 X2 T20 T25 T27 S14")
 def q_score(spark, sf_dir):
-    """The stored champion, loaded by its alias, scores the request table; nothing is benchmarked or tuned here."""
+    """The stored champion, loaded by its alias, scores the request table; nothing is benchmarked or tuned here.
+
+    Requests come from the written silver: over the plan that makes it, every use of a field would parse it again.
+    """
     model, info = champion(spark, sf_dir)
-    return score_requests(validate_requests(_requests(spark, sf_dir)).where("is_valid"), model, info)
+    return score_requests(validate_requests(_requests(spark, sf_dir, _silver(spark, sf_dir))).where("is_valid"), model, info)
 
 
 def _session_requests(spark, sf_dir):
     """Requests with a session and a time that follow from their ids."""
     digest = F.md5("request_id")
     number = lambda at, n: F.conv(F.substring(digest, at, n), 16, 10).cast("long")
-    return _requests(spark, sf_dir).withColumn("session", number(1, 1)).withColumn("asked_at", number(2, 7))
+    return _requests(spark, sf_dir, _silver(spark, sf_dir)).withColumn("session", number(1, 1)).withColumn("asked_at", number(2, 7))
 
 
 @register("prediction_log", "X1 X4 W5", sql=(
