@@ -43,3 +43,31 @@ def test_pruning_keeps_ties_and_large_numbers():
 def test_empty_and_alone(frame):
     assert topk.top_k(frame([], SCHEMA), F.col("vec_id") % 5 == 0).count() == 0
     assert topk.top_k(frame([(0, [1.0], None)], SCHEMA), F.col("vec_id") % 5 == 0).count() == 0
+
+
+def test_query_blocks_are_sent_once_and_in_turns(frame, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.integers(-2, 3, 20 if i % 9 else 6).astype(float).tolist(), "c") for i in range(400)]
+    rows += [(5000, [1.0] * 11, None)]  # a query without candidates
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 8)
+    one = topk.top_k(frame(rows, SCHEMA).repartition(3), F.col("vec_id") % 5 == 0, 5)
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "strategy=broadcast" in plan  # no copy of a query block per candidate block
+    assert sorted(map(tuple, one.collect())) == sorted(brute(rows, 5))
+    monkeypatch.setattr(topk, "SENT_BYTES", 3000)
+    several = topk.top_k(frame(rows, SCHEMA).repartition(3), F.col("vec_id") % 5 == 0, 5)
+    assert several._jdf.queryExecution().optimizedPlan().toString().count("Relation") > 2
+    assert sorted(map(tuple, several.collect())) == sorted(brute(rows, 5))
+
+
+def test_known_scores_leave_out_lower_ones_only():
+    rng = np.random.default_rng(6)
+    block, q, ids = rng.integers(-3, 4, (48, 300)), rng.integers(-3, 4, (48, 7)), rng.permutation(300)
+    for scale in (1, 2 ** 26):
+        scores = (q * scale).T @ block
+        least = np.sort(scores, axis=1)[:, -3].astype(float)
+        got = {i: (a.tolist(), s.tolist()) for i, a, s in topk.block_top_k(q * scale, np.arange(7) + 1000, block, ids, 5, least=least)}
+        for i in range(7):
+            want = sorted((-int(x), int(j)) for x, j in zip(scores[i], ids) if x >= least[i])[:5]
+            assert list(zip(*got[i]))[:len(want)] == [(j, -x) for x, j in want]

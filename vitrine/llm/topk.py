@@ -1,15 +1,17 @@
 """Exact top-k inner-product search by columnar branch-and-bound.
 
 Vectors are packed into blocks of integers in vertical layout (one row per dimension).  A stated query set meets all
-blocks; per pair of blocks the products are accumulated one group of dimensions after the other.  After each group a
-query keeps only candidates whose partial product plus the most that the remaining dimensions can add (Cauchy-Schwarz
-on the remaining mass) reaches the k-th best certain product so far.  Each block of candidates returns its k best per
-query, and one pre-aggregated ranking merges them.
+blocks; per pair of blocks the products are accumulated one group of dimensions after the other, as matrix products.  After each
+group only queries stay whose best partial product plus the most that the remaining dimensions can add (Cauchy-Schwarz on
+the remaining mass) reaches their k-th best product so far, which a task carries from block to block.  Each task
+returns its k best per query, and one pre-aggregated ranking merges them.  The query blocks are sent to the candidate
+blocks in groups of bounded size, one group after the other; the candidate blocks stay where they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,8 @@ BLOCK_ROWS = 4096
 QUERY_ROWS = 1024
 #: Dimensions accumulated between two prunings.
 STRIDE = 16
+#: Bytes of query blocks that are sent to every executor at once.
+SENT_BYTES = 8 * Scratch.SENT_NUMBERS
 
 _BLOCK = pa.schema([("block", pa.int64()), ("dims", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("data", pa.binary())])
 _BLOCK_DDL = "block long, dims int, n int, ids binary, data binary"
@@ -72,12 +76,13 @@ def _pack(rows: int):
 
 
 def block_top_k(queries: np.ndarray, query_ids: np.ndarray, block: np.ndarray, ids: np.ndarray, k: int,
-                stride: int = STRIDE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+                stride: int = STRIDE, least: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query number, ids, scores) of the k best of the block per query, ties to the smaller id.
 
-    ``queries`` and ``block`` hold one row per dimension.  Rows with the query's own id are no candidates.
+    ``queries`` and ``block`` hold one row per dimension.  Rows with the query's own id are no candidates, nor need those be
+    found that score below ``least`` of the query.
     """
-    dims = len(block)
+    dims, slots = len(block), np.arange(len(query_ids))
     limit = float(np.abs(queries).max(initial=0)) * float(np.abs(block).max(initial=0)) * dims
     kind = np.float64 if limit < 2.0 ** 53 else np.int64
     # dimensions in which the block's vectors vary most come first
@@ -85,40 +90,63 @@ def block_top_k(queries: np.ndarray, query_ids: np.ndarray, block: np.ndarray, i
     q, b = queries[order].astype(kind), block[order].astype(kind)
     edges = list(range(0, dims, stride)) + [dims]
     mass = lambda m: np.sqrt(np.cumsum((m.astype(np.float64) ** 2)[::-1], axis=0)[::-1])
-    left_q, left_b = mass(q), mass(b)
-    first = edges[1]
-    start = q[:first].T @ b[:first]
-    for i, own in enumerate(query_ids):
-        alive, partial = np.flatnonzero(ids != own), start[i]
-        if not alive.size:
-            continue
-        partial = partial[alive]
-        for lo, hi in zip(edges[1:-1], edges[2:]):
-            if alive.size > k:
-                # what the dimensions from lo on can add or take away, with room for rounding
-                rest = left_q[lo, i] * left_b[lo, alive] * (1 + 1e-9) + 1e-6 + 1e-12 * limit
-                certain = np.partition(partial - rest, alive.size - k)[alive.size - k]
-                stay = partial + rest >= certain
-                alive, partial = alive[stay], partial[stay]
-            partial = partial + q[lo:hi, i] @ b[lo:hi, alive]
-        best = np.lexsort((ids[alive], -partial))[:k]
-        yield i, ids[alive[best]], partial[best].astype(np.int64)
+    left_q, left_b = mass(q), mass(b).max(axis=1, initial=0)
+    room = 1e-6 + 1e-12 * limit  # for rounding
+    scores = np.zeros((len(slots), len(ids)), kind)
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        scores += q[lo:hi, slots].T @ b[lo:hi]
+        if hi < dims and least is not None:
+            # queries stay that some vector of the block may still answer, by what the dimensions from hi on can add
+            stay = scores.max(axis=1) + left_q[hi, slots] * left_b[hi] * (1 + 1e-9) + room >= least[slots]
+            if not stay.all():
+                slots, scores = slots[stay], scores[stay]
+    by = np.argsort(ids, kind="stable")
+    first, end = (np.searchsorted(ids[by], query_ids[slots], side=x) for x in ("left", "right"))
+    times = end - first
+    own = np.repeat(np.arange(len(slots)), times), by[np.repeat(first - (np.cumsum(times) - times), times) + np.arange(times.sum())]
+    scores[own] = -np.inf if kind is np.float64 else np.iinfo(np.int64).min
+    if least is not None:
+        enough = (least[slots] - room)[:, None]
+    elif len(ids) > k:
+        enough = np.partition(scores, len(ids) - k, axis=1)[:, [len(ids) - k]]
+    else:
+        enough = np.full((len(slots), 1), -np.inf)
+    good = scores >= enough
+    good[own] = False
+    row, column = np.nonzero(good)
+    edges = np.searchsorted(row, np.arange(len(slots) + 1))
+    for r in np.flatnonzero(edges[1:] > edges[:-1]):
+        some = column[edges[r]:edges[r + 1]]
+        best = some[np.lexsort((ids[some], -scores[r, some]))[:k]]
+        yield int(slots[r]), ids[best], scores[r, best].astype(np.int64)
 
 
 def _search(k: int):
+    none = np.iinfo(np.int64).min
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # per query block the ids and scores of the k best so far; missing ones score ``none``
+        best: dict[tuple[int, bytes], tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             for r in batch.to_pylist():
                 shape = r["dims"], -1
                 q_ids, ids = (np.frombuffer(r[x], "<i8") for x in ("q_ids", "ids"))
                 q, b = (np.frombuffer(r[x], f"<i{len(r[x]) // (len(y) * r['dims'])}").reshape(shape)
                         for x, y in (("q_data", q_ids), ("data", ids)))
-                found = list(block_top_k(q, q_ids, b, ids, k))
-                if found:
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.repeat(q_ids[[i for i, _, _ in found]], [len(x) for _, x, _ in found])),
-                        pa.array(np.concatenate([x for _, x, _ in found])), pa.array(np.concatenate([s for _, _, s in found]))],
-                        names=["query_id", "vec_id", "score"])
+                had = best.get((r["dims"], r["q_ids"]))
+                least = None if had is None else np.where(had[1][:, -1] > none, had[1][:, -1].astype(np.float64), -np.inf)
+                new_ids, new = np.zeros((len(q_ids), k), np.int64), np.full((len(q_ids), k), none)
+                for i, found, scores in block_top_k(q, q_ids, b, ids, k, least=least):
+                    new_ids[i, :len(found)], new[i, :len(found)] = found, scores
+                if had is not None:
+                    new_ids, new = (np.concatenate(x, axis=1) for x in ((had[0], new_ids), (had[1], new)))
+                    order = np.lexsort((new_ids, ~new))[:, :k]  # ~ turns the order of all numbers, also of the least one
+                    new_ids, new = (np.take_along_axis(x, order, axis=1) for x in (new_ids, new))
+                best[r["dims"], r["q_ids"]] = new_ids, new
+        for (_, q_ids), (ids, scores) in best.items():
+            i, j = np.nonzero(scores > none)
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(q_ids, "<i8")[i]), pa.array(ids[i, j]), pa.array(scores[i, j])],
+                                             names=["query_id", "vec_id", "score"])
 
     return run
 
@@ -139,14 +167,17 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
     candidates = scratch.write(rows.select("id", "v").mapInArrow(_pack(BLOCK_ROWS), _BLOCK_DDL), "candidates")
     asked = rows.where("q").groupBy("id").agg(F.min("v").alias("v")).select("id", "v")
     asked = scratch.write(asked.mapInArrow(_pack(QUERY_ROWS), _BLOCK_DDL), "queries")
-    # every query block meets every candidate block: candidate blocks are dealt to as many buckets as there are blocks,
-    # a copy of each query block goes to every bucket, and the two meet in an equality join
-    buckets = max(1, candidates.count())
-    dealt = asked.select(F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("c"), "dims", F.col("ids").alias("q_ids"),
-                         F.col("data").alias("q_data"))
-    kept = candidates.select(F.pmod(F.xxhash64("block", "n"), F.lit(buckets)).cast("int").alias("c"), "dims", "ids", "data")
-    pairs = dealt.join(kept, ["c", "dims"]).select("dims", "q_ids", "q_data", "ids", "data")
-    found = pairs.mapInArrow(_search(k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    # every query block meets every candidate block: the query blocks are sent to all executors, in several turns if they
+    # are many; a query lies in one block, so each turn ranks the queries of its own
+    size = asked.agg(F.sum(F.octet_length("ids") + F.octet_length("data"))).head()[0] or 0
+    turns = max(1, -(-size // SENT_BYTES))
+    ranked = []
+    for turn in range(turns):
+        sent = asked.where(F.pmod(F.xxhash64("block", "n"), F.lit(turns)) == turn).select(
+            "dims", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
+        pairs = candidates.join(F.broadcast(sent), "dims").select("dims", "q_ids", "q_data", "ids", "data")
+        found = pairs.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+        best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        own = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        ranked.append(scratch.write(own, f"ranked-{turn}") if turns > 1 else own)
+    return reduce(DataFrame.unionByName, ranked)
